@@ -352,6 +352,8 @@ class _Reader:
             kept.append(body)
             return f"\ue004{len(kept) - 1}\ue005"
 
+        if "\ue000" in text:
+            text = re.sub("\ue000[^\ue000\ue001]*\ue001", lambda m: keep(m[0]), text)
         if "`" in text:
             if _TEX_QUOTES.search(text):
                 kinds.add("latex")
