@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -86,7 +86,7 @@ def stale_counts(papers: DataFrame, tolerance: float = 0.1, tokenizers: str = TO
     Blank texts (nothing but white space) are no cases.
     """
     n = count_tokens(papers, ["record_id", "token_count_approx"], "clean_text", tokenizers, vocabulary)
-    off = F.abs(F.col("token_count_approx") - F.col("n_words")) > F.col("n_words") * tolerance
+    off = F.abs(F.col("token_count_approx") - F.col("n_words")) > F.col("n_words") * F.lit(Decimal(str(tolerance)))
     return n.where((F.col("n_words") > 0) & (F.col("n_tokens") > 0) & (F.col("token_count_approx").isNull() | off)).select("record_id")
 
 
