@@ -4,7 +4,7 @@ from __future__ import annotations
 
 # Fixed value: white space as Python's str.split sees it.
 _BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-_WORDS = f"len(list_filter(regexp_split_to_array(clean_text, '{_BLANK}'), w -> w <> ''))"
+_WORDS = f"len(list_filter(regexp_split_to_array(clean_text, '{_BLANK}'), lambda w: w <> ''))"
 
 
 def _bare(column: str) -> str:
