@@ -75,7 +75,8 @@ def detect_language(c: Column) -> Column:
     letters = lambda cls: F.length(F.regexp_replace(c, f"[^{cls}]", ""))
     hangul, kana, han = letters(r"\x{ac00}-\x{d7a3}"), letters(r"\x{3041}-\x{30ff}"), letters(r"\x{4e00}-\x{9fff}")
     words = F.split(F.lower(c), r"[^\p{L}]+")
-    scores = {lang: F.size(F.filter(words, lambda w, some=some: w.isin(some.split()))) for lang, some in FUNCTION_WORDS.items()}
+    known = lambda some: lambda w: w.isin(some.split())
+    scores = {lang: F.size(F.filter(words, known(some))) for lang, some in FUNCTION_WORDS.items()}
     best = F.greatest(*scores.values())
     by_words = F.lit(DEFAULT_LANGUAGE)
     for lang in reversed([x for x in scores if x != DEFAULT_LANGUAGE]):

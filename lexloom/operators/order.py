@@ -68,6 +68,8 @@ def assign_rank(df: DataFrame, world: int, seed: int, ids: Sequence[str]) -> Dat
     placed = with_position(df, seed, ids, "_pos")
     n = df.count()
     extra = (-n) % world if n else 0
-    again = F.array(F.col("_pos"), *[F.when(F.col("_pos") == (F.lit(n + k) % F.lit(n)), F.lit(n + k)) for k in range(extra)]) if n else F.array("_pos")
-    dealt = placed.withColumn("_at", F.explode(F.array_compact(again)))
+    again = F.array("_pos")
+    if extra:
+        again = F.concat(again, F.when(F.col("_pos") < extra, F.sequence(F.col("_pos") + n, F.lit(n + extra - 1).cast("long"), F.lit(n).cast("long"))).otherwise(F.array().cast("array<bigint>")))
+    dealt = placed.withColumn("_at", F.explode(again))
     return dealt.withColumn("rank", (F.col("_at") % world).cast("int")).withColumn("slot", F.floor(F.col("_at") / world)).drop("_pos", "_at")

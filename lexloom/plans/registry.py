@@ -1,2 +1,360 @@
-def queries(): return {}
-def flagship(s,d): raise NotImplementedError
+"""The registered queries of the core operators, each over its whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexloom.functions import cleaning, text
+from lexloom.operators import mixing, order, packing, parsing, records
+from lexloom.schema import normalize_to_corpus
+
+SCIENCE, GENERAL = ("pes2o_or_crawled",), ("general",)
+SEED, LENGTH, BATCH, SHARDS, BLOCK = 42, 512, 100, 4, 512
+#: Corpora that stand in for remote ones, by the name mix_config gives, with the columns that order them.
+FALLBACK_ORDER = {"corpus": ("id", "version", "added", "created", "url", "text"), "documents": ("doc_id",)}
+#: What PDF extraction leaves in a text, put around whole texts that have none of it.
+PDF_HEAD, PDF_TAIL = "con-\ntinued text\nflows\n12\nPage 3 of 10\n3 von 12\n17.01.24\narXiv:2101.00001v1 [cs.CE] 3 Jan 2021\n", "\nReferences\n[1] x"
+TEX_HEAD = "\\documentclass{article}\n\\begin{document}\nSee $x^{2}$ \\cite{a} and \\ref{b}. 50\\% off % note\n\\begin{equation}E=mc^2\\end{equation}\n\\textbf{Bold} \\emph{text} $\\alpha$ \\leq \\beta\n"
+TEX_TAIL = "\n\\[ y \\] $$ z $$\n\\end{document} after"
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(run: Query) -> Query:
+    _QUERIES[run.__name__] = run
+    return run
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def read(spark: SparkSession, d: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{table}.parquet")
+
+
+def _pdf(c) -> object:
+    return F.concat(F.lit(PDF_HEAD), F.replace(c, F.lit(" "), F.lit("\n")), F.lit(PDF_TAIL))
+
+
+def _tex(c) -> object:
+    return F.concat(F.lit(TEX_HEAD), c, F.lit(TEX_TAIL))
+
+
+def _abstracts(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").where(F.col("abstract").isNotNull())
+
+
+@query
+def papers_by_source_type(spark: SparkSession, d: str) -> DataFrame:
+    read(spark, d, "papers").createOrReplaceTempView("papers")
+    return spark.sql("SELECT full_text_source_type, count(*) AS n FROM papers GROUP BY full_text_source_type")
+
+
+@query
+def content_hash(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").select("record_id", text.content_hash(F.col("title"), F.col("abstract")).alias("content_hash"))
+
+
+@query
+def normalized_titles(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").select("record_id", text.normalize_text(F.col("title")).alias("title"))
+
+
+@query
+def record_ids(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", text.record_id(F.col("doc_id")).alias("record_id"), text.paper_id(F.col("doc_id")).alias("paper_id"))
+
+
+@query
+def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return records.exact_dedup(read(spark, d, "papers"))
+
+
+@query
+def split_by_source(spark: SparkSession, d: str) -> DataFrame:
+    s, g = mixing.split_by_source(read(spark, d, "corpus"), SCIENCE, GENERAL)
+    both = s.withColumn("side", F.lit("science")).unionByName(g.withColumn("side", F.lit("general")))
+    return both.groupBy("side", "source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"))
+
+
+@query
+def source_ratio(spark: SparkSession, d: str) -> DataFrame:
+    s, g = mixing.split_by_source(read(spark, d, "corpus"), SCIENCE, GENERAL)
+    counts = s.agg(F.count(F.lit(1)).alias("n_science")).crossJoin(g.agg(F.count(F.lit(1)).alias("n_general")))  # one row each
+    ratio = F.col("n_science") / (F.col("n_science") + F.col("n_general"))
+    rows = counts.crossJoin(F.broadcast(read(spark, d, "mix_config")))  # a fixed table of three rows
+    return rows.select("science_ratio_min", "science_ratio_max", "n_science", "n_general", ratio.between(F.col("science_ratio_min"), F.col("science_ratio_max")).alias("in_range"))
+
+
+def _mix(spark: SparkSession, d: str, auto: bool, fallback: bool, alone: bool = False) -> DataFrame:
+    """The mixture by the row of mix_config with these settings; alone: balanced without fallbacks."""
+    rows = [r.asDict() for r in read(spark, d, "mix_config").limit(100).collect() if r["auto_balance"] == auto and (r["science_fallback"] is not None) == fallback]
+    config = rows[0]
+    if alone:
+        config, auto = config | {"science_fallback": None, "general_fallback": None}, True
+    corpus = read(spark, d, "corpus")
+    s, g = mixing.split_by_source(corpus, SCIENCE, GENERAL)
+    documents = read(spark, d, "documents").withColumnRenamed("doc_id", "id") if config["general_fallback"] else None
+    science = corpus if config["science_fallback"] else None
+    plan = mixing.plan_mix(*mixing.counts(s, g), config["science_ratio_min"], config["science_ratio_max"], auto, science is not None, documents is not None)
+    order_by = ("id",) if plan.add_general else FALLBACK_ORDER["corpus"]
+    return mixing.adjust_mixing(s, g, config["science_ratio_min"], config["science_ratio_max"], auto, science, documents, SEED, order_by)
+
+
+@query
+def mix_supplement(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, True, True).select("id", "source", "version", "shuffle_key")
+
+
+@query
+def mix_validate_only(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, False, False).select("id", "source", "version", "shuffle_key")
+
+
+@query
+def mix_downsample(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, True, False).select("id", "source", "version", "shuffle_key")
+
+
+@query
+def mix_without_fallback(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, False, False, alone=True).select("id", "source", "version", "shuffle_key")
+
+
+@query
+def normalize_schema(spark: SparkSession, d: str) -> DataFrame:
+    return normalize_to_corpus(read(spark, d, "documents").withColumnRenamed("doc_id", "id"))
+
+
+@query
+def token_count(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").select("record_id", text.token_count(F.col("clean_text")).alias("n_tokens"))
+
+
+@query
+def latex_residue(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").select("record_id", text.latex_residue(F.col("full_text")).alias("n_commands"))
+
+
+@query
+def clean_pdf_text(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.clean_pdf_text(_pdf(F.col("abstract"))).alias("text"))
+
+
+@query
+def clean_pdf_papers(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").where(F.col("full_text").isNotNull()).select("record_id", cleaning.clean_pdf_text(F.col("full_text")).alias("text"))
+
+
+@query
+def latex_body(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_body(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def latex_comments(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_comments(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def latex_equations(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_equations(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def latex_symbols(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_symbols(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def latex_formats(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_formats(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def latex_references(spark: SparkSession, d: str) -> DataFrame:
+    return _abstracts(spark, d).select("record_id", cleaning.latex_references(_tex(F.col("abstract"))).alias("text"))
+
+
+@query
+def clean_latex(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").where(F.col("full_text").isNotNull()).select("record_id", cleaning.clean_latex("full_text").alias("text"))
+
+
+@query
+def clean_all_records(spark: SparkSession, d: str) -> DataFrame:
+    cleaned = records.clean_all(read(spark, d, "papers").where(F.col("source") == "arxiv"))
+    return cleaned.select("record_id", "clean_text", "token_count_approx", "language")
+
+
+@query
+def clean_all_untouched(spark: SparkSession, d: str) -> DataFrame:
+    """What cleaning sets where no TeX cleaning is involved: the abstracts."""
+    cleaned = records.clean_all(read(spark, d, "papers").where(F.col("source") == "arxiv"))
+    own = (F.col("full_text_status").eqNullSafe("abstract_only") | ~records.is_true(F.col("has_full_text"))) & text.truthy(F.col("abstract"))
+    return cleaned.where(own).select("record_id", "clean_text", "token_count_approx")
+
+
+@query
+def cleaned_count(spark: SparkSession, d: str) -> DataFrame:
+    has = records.is_true(F.col("has_full_text")) & text.truthy(F.col("full_text"))
+    return read(spark, d, "papers").where(F.col("source") == "arxiv").agg(F.count_if(has).alias("n_cleaned"))
+
+
+@query
+def detect_language(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", text.detect_language(F.col("text")).alias("language"))
+
+
+@query
+def tokenize_utf8_lengths(spark: SparkSession, d: str) -> DataFrame:
+    return packing.tokenize(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.size("input_ids").alias("n_tokens"))
+
+
+@query
+def tokenize_truncate(spark: SparkSession, d: str) -> DataFrame:
+    return packing.tokenize(read(spark, d, "documents").select("doc_id", "text"), max_length=LENGTH).select("doc_id", F.size("input_ids").alias("n_tokens"))
+
+
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    return order.with_position(read(spark, d, "documents").select("doc_id", "text"), SEED, ["doc_id"])
+
+
+@query
+def shuffled_positions(spark: SparkSession, d: str) -> DataFrame:
+    return _placed(spark, d).select("doc_id", "pos")
+
+
+@query
+def pack_accounting(spark: SparkSession, d: str) -> DataFrame:
+    placed = _placed(spark, d).select("pos", packing.token_length(F.col("text")).alias("n_tokens"))
+    return packing.pack_accounting(placed, LENGTH, batch_size=BATCH, shards=SHARDS, n=read(spark, d, "documents").count())
+
+
+@query
+def pack_sequences(spark: SparkSession, d: str) -> DataFrame:
+    packed = packing.pack(packing.tokenize(_placed(spark, d)), LENGTH, 256, batch_size=BATCH, shards=SHARDS, n=read(spark, d, "documents").count())
+    signs = F.transform("input_ids", lambda i: F.when(i == 256, "zz").otherwise(F.lpad(F.hex(i), 2, "0")))
+    return packed.select("shard", "batch", "k", F.size("input_ids").alias("n"), F.md5(F.encode(F.array_join(signs, ""), "utf-8")).alias("digest"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"))
+
+
+@query
+def fixed_blocks(spark: SparkSession, d: str) -> DataFrame:
+    blocks = packing.fixed_blocks(packing.tokenize(read(spark, d, "documents").select("doc_id", "text")), BLOCK, 256)
+    pad = F.size(F.filter("input_ids", lambda i: i == 256))
+    return blocks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_blocks"), F.sum(F.size("input_ids")).alias("n_ids"), F.sum(pad).alias("n_padding"))
+
+
+@query
+def train_eval_split(spark: SparkSession, d: str) -> DataFrame:
+    return order.train_eval_split(read(spark, d, "documents").select("doc_id"), 0.005, SEED, ["doc_id"])
+
+
+@query
+def token_stats(spark: SparkSession, d: str) -> DataFrame:
+    placed = packing.tokenize(_placed(spark, d), max_length=LENGTH)
+    exact, logged = (packing.token_stats(placed, LENGTH, exact=e) for e in (True, False))
+    return exact.withColumn("mode", F.lit("exact")).unionByName(logged.withColumn("mode", F.lit("logged")))
+
+
+@query
+def assign_rank(spark: SparkSession, d: str) -> DataFrame:
+    return order.assign_rank(read(spark, d, "documents").select("doc_id"), 7, SEED, ["doc_id"])
+
+
+@query
+def merge_parsed(spark: SparkSession, d: str) -> DataFrame:
+    merged = records.merge_parsed(read(spark, d, "papers"), read(spark, d, "parse_results"))
+    return merged.select("record_id", "full_text", "has_full_text", "full_text_format", "full_text_source_type", "full_text_status", F.col("_matched").alias("matched"))
+
+
+@query
+def rows_updated(spark: SparkSession, d: str) -> DataFrame:
+    return records.merge_parsed(read(spark, d, "papers"), read(spark, d, "parse_results")).agg(F.count_if("_matched").alias("n_updated"))
+
+
+@query
+def skip_done(spark: SparkSession, d: str) -> DataFrame:
+    work = read(spark, d, "papers").where(F.col("pdf_path").isNotNull()).select("record_id", "arxiv_id")
+    return records.skip_done(work, read(spark, d, "parse_results"))
+
+
+@query
+def done_set(spark: SparkSession, d: str) -> DataFrame:
+    done = read(spark, d, "papers").where(F.col("full_text_status") == "pdf_parsed").where(F.col("arxiv_id").isNotNull())
+    return records.done_set(done, read(spark, d, "parse_results").where(F.col("arxiv_id").isNotNull()))
+
+
+@query
+def replace_targets(spark: SparkSession, d: str) -> DataFrame:
+    return records.replace_targets(read(spark, d, "papers"), "arxiv_pdf_pymupdf", "data/pdf")
+
+
+@query
+def path_ids(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").where(F.col("pdf_path").isNotNull()).select("record_id", text.id_of_path(F.col("pdf_path")).alias("arxiv_id"))
+
+
+@query
+def select_pdf_targets(spark: SparkSession, d: str) -> DataFrame:
+    return records.pdf_targets(read(spark, d, "papers"), redo_pymupdf=True).select("record_id", "full_text_status", "full_text_source_type")
+
+
+@query
+def comparison_sample(spark: SparkSession, d: str) -> DataFrame:
+    return records.comparison_rows(read(spark, d, "papers"), 20).select("record_id", "arxiv_id", "pdf_path")
+
+
+def _contents(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "papers").where(F.col("full_text").isNotNull()).select("record_id", F.encode("full_text", "utf-8").alias("content"))
+
+
+@query
+def parse_backend(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.parse(_contents(spark, d), "plain").select("record_id", "text", "error")
+
+
+@query
+def parse_backend_html(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.parse(_contents(spark, d), "html").select("record_id", "text", "error")
+
+
+@query
+def compare_backends(spark: SparkSession, d: str) -> DataFrame:
+    rows = parsing.compare_backends(_contents(spark, d), ["plain", "html"], "record_id")
+    return rows.select("record_id", "backend", "tokens", "latex_residue")
+
+
+@query
+def comparison_summary(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.summarize_comparison(read(spark, d, "backend_compare"))
+
+
+@query
+def parse_stats(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.parse_stats(read(spark, d, "parse_results"))
+
+
+@query
+def corpus_sources(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct sources of the first 5,000 rows by id, as the feature reports them."""
+    return read(spark, d, "corpus").orderBy("id").limit(5000).select("source").distinct()
+
+
+@query
+def load_corpus(spark: SparkSession, d: str) -> DataFrame:
+    return flagship(spark, d)
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """Split by source, mix, tokenize, pack, hold out and count: (split, n_sequences, n_tokens)."""
+    mixed = _mix(spark, d, True, True).select("id", "version", "shuffle_key", "text")
+    placed = order.with_position(mixed, SEED, ["shuffle_key"])
+    packed = packing.pack(packing.tokenize(placed), LENGTH, 256, batch_size=BATCH, shards=SHARDS)
+    split = order.train_eval_split(packed.select("shard", "batch", "k", F.size("input_ids").alias("n")), 0.005, SEED, ["shard", "batch", "k"])
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n_sequences"), F.sum("n").alias("n_tokens"))
