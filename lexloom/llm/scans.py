@@ -184,12 +184,12 @@ def tokens_of(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int
         if carried and found:
             found.pop(0)
         carried = False
-        if k + 1 < len(running) and len(line) > 2 and line[-1] in BREAKS and line[-2].isalpha():
+        if k + 1 < len(running) and len(line) > 2 and line[-1] in BREAKS and (line[-2].isalnum() or line[-2] in "!|"):
             j = running[k + 1]
             gap = classes[i + 1 : j]
             right = _WORD.match(lines[j].strip(_BLANKS))
             left = re.search(r"[^\W_][\w!|'’]*(?:-[\w!|'’]+)*$|[!|][\w!|]+$", line[:-1])
-            if right and left and ("furniture" in gap or not gap):
+            if right and left and _LETTER.search(left[0]) and ("furniture" in gap or not gap):
                 breaks.append((i, left[0], line[-1], right[0].strip("_'’"), j))
                 carried = True
                 if found:
@@ -200,10 +200,11 @@ def tokens_of(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int
 
 # What recognition makes of letters, as (true, seen).
 CONFUSIONS = (
-    ("e", "c"), ("c", "e"), ("t", "f"), ("f", "i"), ("f", "t"), ("h", "b"), ("y", "v"), ("i", "!"), ("i", "1"), ("l", "1"), ("l", "!"), ("l", "|"),
-    ("i", "|"), ("i", "l"), ("o", "0"), ("s", "5"), ("b", "6"), ("é", "6"), ("g", "9"), ("g", "q"), ("q", "g"), ("z", "2"), ("a", "o"), ("m", "rn"), ("rn", "m"), ("n", "ri"), ("ri", "n"),
+    ("e", "c"), ("c", "e"), ("t", "f"), ("f", "i"), ("h", "b"), ("y", "v"), ("i", "!"), ("i", "1"), ("l", "1"), ("l", "!"), ("l", "|"),
+    ("i", "|"), ("i", "l"), ("o", "0"), ("s", "5"), ("b", "6"), ("é", "6"), ("g", "9"), ("g", "q"), ("q", "g"), ("z", "2"), ("m", "rn"), ("rn", "m"), ("n", "ri"), ("ri", "n"),
     ("h", "li"), ("li", "h"), ("in", "m"), ("m", "in"), ("w", "vv"), ("vv", "w"), ("tt", "H"), ("d", "cl"), ("cl", "d"), ("u", "ii"), ("n", "ii"), ("ll", "U"),
     ("O", "0"), ("S", "5"), ("B", "8"), ("G", "6"), ("Z", "2"), ("I", "l"), ("I", "1"), ("I", "|"), ("I", "!"), ("T", "7"), ("E", "F"), ("fi", "h"), ("a", "@"), ("k", "lc"), ("D", "O"), ("Q", "O"),
+    ("ü", "ii"), ("ä", "a"), ("ö", "o"), ("ü", "u"), ("é", "e"), ("è", "e"), ("ê", "e"), ("á", "a"), ("à", "a"), ("ã", "a"), ("í", "i"), ("ó", "o"), ("õ", "o"), ("ú", "u"), ("ç", "c"), ("ñ", "n"), ("ß", "B"),
 )
 #: Anagram hashes are sums of fifth powers modulo this prime, so that two of them add up within 64 bits.
 MODULUS = (1 << 61) - 1
