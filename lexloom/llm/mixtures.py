@@ -45,7 +45,7 @@ def quotas(available: dict[str, int], targets: list[tuple[str, float, int]], tot
         return {s: 0 for s, _, _ in targets}
     if total is None:
         whole = sum(share.values())
-        total = int(min(limit[s] / (x / whole) for s, x in share.items()))
+        total = int(min(limit[s] / (x / whole) for s, x in share.items()) + 1e-6)
     out = {s: 0 for s, _, _ in targets}
     open_, rest = dict(share), float(total)
     while open_:

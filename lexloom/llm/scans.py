@@ -227,7 +227,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 total.update(words_of(abstract))
             if text:
                 total.update([w for _, w, _, _ in tokens_of(text, title, abstract)[1]])
-        yield pd.DataFrame({"word": list(total), "n": list(total.values()), "hash": [anagram_hash(w) for w in total]})
+        if total:
+            yield pd.DataFrame({"word": list(total), "n": list(total.values()), "hash": [anagram_hash(w) for w in total]})
 
 
 def _columns(df: DataFrame, title: str, abstract: str) -> list[Column]:
