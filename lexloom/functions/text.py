@@ -72,20 +72,22 @@ def detect_language(c: Column) -> Column:
     Null, short (under 20 characters without outer white space) and undecided
     texts are `en`; so is a tie.
     """
-    letters = lambda cls: F.length(F.regexp_replace(c, f"[^{cls}]", ""))
-    hangul, kana, han = letters(r"\x{ac00}-\x{d7a3}"), letters(r"\x{3041}-\x{30ff}"), letters(r"\x{4e00}-\x{9fff}")
-    words = F.split(F.lower(c), r"[^\p{L}]+")
-    known = lambda some: lambda w: w.isin(some.split())
-    scores = {lang: F.size(F.filter(words, known(some))) for lang, some in FUNCTION_WORDS.items()}
-    best = F.greatest(*scores.values())
-    by_words = F.lit(DEFAULT_LANGUAGE)
-    for lang in reversed([x for x in scores if x != DEFAULT_LANGUAGE]):
-        by_words = F.when(scores[lang] == best, lang).otherwise(by_words)
-    by_words = F.when(scores[DEFAULT_LANGUAGE] == best, DEFAULT_LANGUAGE).otherwise(by_words)
-    wide = (hangul + kana + han) * 4 >= F.length(c)
-    by_script = F.when((hangul >= kana) & (hangul >= han), "ko").when(kana * 10 >= han, "ja").otherwise("zh")
-    short = c.isNull() | (F.length(strip(c)) < LEAST_LANGUAGE_LENGTH)
-    return F.when(short, DEFAULT_LANGUAGE).when(wide, by_script).otherwise(by_words)
+    letters = lambda cls: F.regexp_count(c, F.lit(f"[{cls}]"))
+    words = lambda some: F.regexp_count(F.lower(c), F.lit(rf"(?<!\p{{L}})(?:{'|'.join(some.split())})(?!\p{{L}})"))
+    counts = F.struct(
+        letters(r"\x{ac00}-\x{d7a3}").alias("hangul"), letters(r"\x{3041}-\x{30ff}").alias("kana"), letters(r"\x{4e00}-\x{9fff}").alias("han"),
+        F.length(c).alias("all"), F.length(strip(c)).alias("bare"), *[words(some).alias(lang) for lang, some in FUNCTION_WORDS.items()],
+    )
+
+    def decide(n: Column) -> Column:
+        best = F.greatest(*[n[lang] for lang in FUNCTION_WORDS])
+        by_words = F.coalesce(*[F.when(n[lang] == best, lang) for lang in FUNCTION_WORDS])
+        by_script = F.when((n["hangul"] >= n["kana"]) & (n["hangul"] >= n["han"]), "ko").when(n["kana"] * 10 >= n["han"], "ja").otherwise("zh")
+        wide = (n["hangul"] + n["kana"] + n["han"]) * 4 >= n["all"]
+        return F.when(n["all"].isNull() | (n["bare"] < LEAST_LANGUAGE_LENGTH), DEFAULT_LANGUAGE).when(wide, by_script).otherwise(by_words)
+
+    # The counts are bound to a variable, so that each is made once however often it is looked at.
+    return F.transform(F.array(counts), decide)[0]
 
 
 def id_of_path(path: Column) -> Column:

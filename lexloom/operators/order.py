@@ -42,9 +42,22 @@ def with_position(df: DataFrame, seed: int, ids: Sequence[str], out: str = "pos"
 def sample_exact(df: DataFrame, n: int, seed: int, ids: Sequence[str]) -> DataFrame:
     """Exactly n rows (all, if there are fewer), the first in the order of the seeded key.
 
-    Planned as a distributed top-n for small n; nothing is collected.
+    The sizes of the key's buckets, a bounded number, tell in which bucket the
+    n-th row lies.  The buckets before it are taken whole and only that one is
+    put in order, so no task sees more than a bucket, whatever n is.
     """
-    return df.withColumn("_key", shuffle_key(seed, *ids)).orderBy("_key").limit(max(0, n)).drop("_key")
+    keyed = df.withColumn("_key", shuffle_key(seed, *ids)).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
+    left, last = max(0, n), None
+    for bucket, size in sorted((r["_bucket"], r["count"]) for r in keyed.groupBy("_bucket").count().collect()):
+        if size > left:
+            last = bucket
+            break
+        left -= size
+    if last is None:
+        return df
+    before = keyed.where(F.col("_bucket") < last)
+    part = keyed.where(F.col("_bucket") == last).orderBy("_key").limit(left)
+    return before.unionByName(part).drop("_key", "_bucket")
 
 
 def eval_size(n: int, ratio: float, least: int = 100) -> int:
