@@ -27,6 +27,8 @@ from lexloom.llm.common import TOKENIZERS
 
 #: The model is fitted on so many documents of each label at most, taken by a hash of their id.
 SAMPLE_PER_LANGUAGE = 400
+#: Only documents of at most so many characters are taken to learn from, which bounds what the driver holds.
+SAMPLE_LENGTH = 20_000
 #: Weight, in pieces, of the average over all languages within each one's probabilities.
 PRIOR = 2000.0
 #: A sentence has a language of its own from so many letters and words on (of scripts without spaces, letters alone) ...
@@ -159,7 +161,7 @@ class Model:
     def word(self, word: str) -> np.ndarray:
         score = self.cache.get(word)
         if score is None:
-            if len(self.cache) > 400_000:
+            if len(self.cache) > 200_000:
                 self.cache.clear()
             score = self.cache[word] = forward(pieces(self.path).edges(word), self.table)
         return score
@@ -211,7 +213,7 @@ def fit(samples: dict[str, list[str]], path: str, rounds: int = 2, steps: int =
 
 def training_sample(df: DataFrame, labels: dict[str, str], text: str, label: str, id_col: str, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, list[str]]:
     """Texts by language, at most per_language of each: first the labels are counted, then a share of each is taken by a hash of the id."""
-    named = df.where(F.col(text).isNotNull() & F.col(text).rlike(r"\S")).select(F.col(id_col).cast("string").alias("_id"), F.col(label).alias("_label"), F.col(text).alias("_text"))
+    named = df.where(F.col(text).rlike(r"\S") & (F.length(text) <= SAMPLE_LENGTH)).select(F.col(id_col).cast("string").alias("_id"), F.col(label).alias("_label"), F.col(text).alias("_text"))
     mapping = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
     named = named.withColumn("_lang", F.try_element_at(mapping, F.col("_label"))).where(F.col("_lang").isNotNull())
     counts = {r["_lang"]: r["count"] for r in named.groupBy("_lang").count().collect()}

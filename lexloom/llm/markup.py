@@ -61,7 +61,7 @@ _ISLAND = re.compile(
     r"|(?P<fence>^(?P<mark>`{3,}|~{3,})[^\n`]*\n.*?(?:^[ ]{0,3}(?P=mark)[`~]*[ \t]*$|\Z))"
     rf"|(?P<texcode>\\begin\{{(?P<cenv>(?:{CODE_ENVIRONMENTS})\*?)\}}(?:\[[^\]\n]*\])?.*?(?:\\end\{{(?P=cenv)\}}|\Z))"
     rf"|(?P<texmath>\\begin\{{(?P<menv>(?:{MATH_ENVIRONMENTS})\*?)\}}.*?(?:\\end\{{(?P=menv)\}}|\Z))"
-    r"|(?P<display>(?<!\\)\\\[.*?\\\]|(?<![\\$])\$\$(?!\$).+?\$\$)"
+    r"|(?P<display>(?<!\\)\\\[.{0,4000}?\\\]|(?<![\\$])\$\$(?!\$).{1,4000}?\$\$)"
     r"|(?P<pre><(?i:pre)\b[^>]*>.*?(?:</(?i:pre)\s*>|\Z))"
     r"|(?P<wikicode><(?P<stag>syntaxhighlight|source)\b[^>]*>.*?(?:</(?P=stag)\s*>|\Z))"
     r"|(?P<wikimath><math\b[^>]*>.*?(?:</math\s*>|\Z))"
@@ -73,7 +73,7 @@ _ISLAND = re.compile(
 )
 _OPENS = re.compile(r"<[!a-zA-Z/]|```|~~~|\\|\$\$|\{[|{]")
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s[^<>]*?)?)\s*(/?)>")
-_DOCTYPE = re.compile(r"<![A-Za-z][^>]*>")
+_DOCTYPE = re.compile(r"<![A-Za-z][^<>]{0,2000}>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
 _ATX = re.compile(r"[ ]{0,3}(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t\r]*$")
 _UNDERLINE = re.compile(r"[ ]{0,3}(={3,}|-{3,})[ \t\r]*$")
@@ -88,7 +88,7 @@ _MD_LINK = re.compile(r"(!?)\[([^\[\]\n]*)\]\(([^()\s]+)(?:\s+\"[^\"\n]*\")?\)")
 _MD_NOTE = re.compile(r"\[\^[^\]\s]+\]:?")
 _MD_REF = re.compile(r"(?m)^[ ]{0,3}\[[^\]\n^]+\]:[ \t]+\S+[^\n]*$")
 _MD_AUTO = re.compile(r"<(https?://[^\s<>]+|[\w.+-]+@[\w-]+\.[\w.]+)>")
-_MD_STRONG = re.compile(r"(?<![\w*])\*\*(?=[^\s*])([^\n]+?)(?<=[^\s*])\*\*(?!\*)|(?<![\w_])__(?=[^\s_])([^\n]+?)(?<=[^\s_])__(?![\w_])|(?<=[^\x00-\x7f\s*])\*\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*\*(?!\*)")
+_MD_STRONG = re.compile(r"(?<![\w*])\*\*(?=[^\s*])([^\n]{1,400}?)(?<=[^\s*])\*\*(?!\*)|(?<![\w_])__(?=[^\s_])([^\n]{1,400}?)(?<=[^\s_])__(?![\w_])|(?<=[^\x00-\x7f\s*])\*\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*\*(?!\*)")
 _MD_EM = re.compile(r"(?<![\w*\\])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])|(?<![\w_\\])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")
 _MD_STRIKE = re.compile(r"~~(?=[^\s~])([^~\n]+?)(?<=[^\s~])~~")
 _MD_CODE = re.compile(r"(?<!`)`(?!`)([^`\n]+?)`(?!`)")

@@ -83,6 +83,8 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
         s = bare[i]
         if not s:
             out[i] = "blank"
+        elif len(s) > 400:
+            continue
         elif _NUMBERED.fullmatch(s) or _STAMP.fullmatch(s):
             out[i] = "furniture"
         elif _DATE.fullmatch(s):
