@@ -39,8 +39,8 @@ _NUMBERED = re.compile(
 _STAMP = re.compile(r"arXiv\s*:\s*\S{6,}\s.*\d{4}|arXiv\s*:\s*\S{6,}(?:\s*\[[^\]]*\])?$")
 _DATE = re.compile(r"\d{1,2}\.\d{1,2}\.(?:\d{2}|\d{4})")
 _BARE = re.compile(r"\d{1,5}|[ivxlc]{1,7}")
-_AUTHORS = re.compile(r"(?:\d{1,5}\s{1,6})?[^\s(]{3,30}\s+(?:et\s+\S{1,4}\.?|\S{1,3}\s+al\.)(?:\s{1,6}\d{1,5})?")
-_VOLUME = re.compile(r"(?:\d{1,5}\s{1,6})?\S.{3,60},\s+V\S{1,3}\.\s*\d{1,5}(?:\s{1,6}\d{1,5})?")
+_AUTHORS = re.compile(r"(?:\d{1,5}\s{1,6})?(?:[^\s(]{3,30}\s+(?:et\s+\S{1,4}\.?|\S{1,3}\s+al\.)|[^\W\d_a-z]\S{2,28}.?et.{1,2}al\.)(?:\s{1,6}\d{1,5})?")
+_VOLUME = re.compile(r"(?:\d{1,5}\s{1,6})?(?:\S.{3,60},\s+V\S{1,3}\.\s*|[^\W\d_a-z][^\d.]{8,50}[,\s]\S{0,3}ol\S{0,4}?\s?)\d{1,5}(?:\s{1,6}\d{1,5})?")
 _PAGED = re.compile(r"^\d{1,5}\s{2,6}(?=\D)|(?<=\S)\s{2,6}\d{1,5}$")
 _TABLE = re.compile(r"\S+(?:\s+\S+){0,3}(?:\s{2,}|\t)\S.*(?:\s{2,}|\t)\S+|[A-Z]{1,3}-?\d+(?:\s+-?[\d.,]+){1,8}")
 _HEADING = re.compile(r"#{1,6}\s+\S.*")
@@ -108,6 +108,10 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
             if out[i] == "text" and not (i + 1 < n and re.fullmatch(r"[=-]{3,}", bare[i + 1])) and len(bare[i]) <= len(title) + 12 and _like(_PAGED.sub("", bare[i]), title):
                 out[i] = "furniture"
     if wrapped:
+        heads = {_PAGED.sub("", bare[i]) for i in filled if out[i] == "furniture" and len(bare[i]) > 9 and bare[i][:1].isalpha()}
+        for i in filled if heads else ():
+            if out[i] == "text" and 9 < len(bare[i]) < 90 and _at_edge(lines, out, i) and any(_near(_PAGED.sub("", bare[i]), h) for h in heads):
+                out[i] = "furniture"
         seen = Counter(_key(bare[i]) for i in filled if out[i] == "text" and bare[i][:1].isupper() and len(bare[i]) < 80)
         for i in filled:
             if out[i] == "text" and "\x0c" in lines[i] and seen.get(_key(bare[i]), 0) > 1 and not re.search(r"[.,;]$", bare[i]):
@@ -123,6 +127,19 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     return out
 
 
+def _at_edge(lines: list[str], out: list[str], i: int) -> bool:
+    """Whether a line may stand at the edge of a page: at a form feed, or beside something that isn't running text."""
+    beside = [out[j] if 0 <= j < len(out) else "blank" for j in (i - 1, i + 1)]
+    return lines[i][:1] == "\x0c" or any(k in ("blank", "furniture", "bare", "date") for k in beside)
+
+
+def _near(line: str, head: str) -> bool:
+    """Whether two lines are the same but for a few misread characters."""
+    if abs(len(line) - len(head)) > 3:
+        return False
+    return sum(a == b for a, b in zip(line, head)) >= 0.8 * len(head) or sum(a == b for a, b in zip(line[::-1], head[::-1])) >= 0.8 * len(head) or SequenceMatcher(None, line, head, autojunk=False).quick_ratio() > 0.9 and SequenceMatcher(None, line, head, autojunk=False).ratio() >= 0.88
+
+
 def _key(line: str) -> str:
     return re.sub(r"\d+", "0", line).casefold()
 
