@@ -18,7 +18,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
+from operator import eq
+from os.path import commonprefix
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,12 +57,19 @@ def _is_upper(line: str) -> bool:
 
 def _like(line: str, title: str) -> bool:
     """Whether a line is the beginning of the title, but for case and misread characters."""
-    line = line.rstrip(". ").casefold()
-    start = title.casefold()[: len(line)]
-    if len(line) < 8 or line[:1] != start[:1] and line[1:3] != start[1:3]:
+    line, title = line.rstrip(". ").casefold(), title[: len(line) + 4].casefold()
+    if len(line) < 8 or line[:1] != title[:1] and line[1:3] != title[1:3]:
         return False
-    same = sum(a == b for a, b in zip(line, start))
-    return same >= 0.85 * len(line) or SequenceMatcher(None, line, start, autojunk=False).ratio() >= 0.88
+    return any(_same(line, title[: len(line) + shift]) for shift in (0, 1, -1))
+
+
+def _same(line: str, other: str) -> bool:
+    """Whether two lines agree in place, or from both ends up to a character that became two or vanished."""
+    n = max(1, len(line))
+    if len(line) == len(other) and sum(map(eq, line, other)) >= 0.85 * n:
+        return True
+    front = len(commonprefix((line, other)))
+    return front + len(commonprefix((line[front:][::-1], other[front:][::-1]))) >= 0.88 * n
 
 
 def classes_of(text: str, *titles: str | None) -> list[str]:
@@ -81,29 +89,31 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     wrapped = lengths[-1] < 130 and len(filled) > 3
     for i in range(n):
         s = bare[i]
+        size = len(s)
         if not s:
             out[i] = "blank"
-        elif len(s) > 400:
+        elif size > 400:
             continue
-        elif _NUMBERED.fullmatch(s) or _STAMP.fullmatch(s):
+        elif size < 40 and _NUMBERED.fullmatch(s) or "arXiv" in s[:8] and _STAMP.fullmatch(s):
             out[i] = "furniture"
-        elif _DATE.fullmatch(s):
+        elif size < 12 and _DATE.fullmatch(s):
             out[i] = "date"
-        elif _BARE.fullmatch(s):
+        elif size < 9 and _BARE.fullmatch(s):
             out[i] = "bare"
-        elif _HEADING.fullmatch(s):
+        elif s[0] == "#" and _HEADING.fullmatch(s):
             out[i] = "heading"
-        elif wrapped and (_AUTHORS.fullmatch(s) or _VOLUME.fullmatch(s) and s[:1].isalnum()):
+        elif wrapped and (size < 60 and (" et " in s or "al." in s) and _AUTHORS.fullmatch(s) or size < 90 and ("ol" in s or " V" in s) and _VOLUME.fullmatch(s) and s[0].isalnum()):
             out[i] = "furniture"
-        elif re.fullmatch(r"\(\s*\d{1,3}[a-z]?\s*\)", s):
+        elif s[0] == "(" and size < 12 and re.fullmatch(r"\(\s*\d{1,3}[a-z]?\s*\)", s):
             out[i] = "equation"
-        elif wrapped and (_PAGED.sub("", s).endswith(" ...") or _is_upper(_PAGED.sub("", s))) and not re.search(r"\s{2,}\S+\s{2,}", s):
+        elif wrapped and (s.endswith("...") or "... " in s or not s[1:4].islower()) and (_PAGED.sub("", s).endswith(" ...") or _is_upper(_PAGED.sub("", s))) and not re.search(r"\s{2,}\S+\s{2,}", s):
             out[i] = "furniture"
-        elif _TABLE.fullmatch(s):
+        elif ("  " in s or "\t" in s or s[0].isupper() and not s[1:2].islower()) and _TABLE.fullmatch(s):
             out[i] = "table"
         elif lines[i].startswith("    ") and not (i and out[i - 1] == "text"):
             out[i] = "code"
-    for title in {t for t in titles if wrapped and t}:
+    # Title and abstract may stand in each other's place; the shorter one is the title.
+    for title in sorted((t for t in titles if wrapped and t), key=len)[:1]:
         for i in filled:
             if out[i] == "text" and not (i + 1 < n and re.fullmatch(r"[=-]{3,}", bare[i + 1])) and len(bare[i]) <= len(title) + 12 and _like(_PAGED.sub("", bare[i]), title):
                 out[i] = "furniture"
@@ -135,9 +145,7 @@ def _at_edge(lines: list[str], out: list[str], i: int) -> bool:
 
 def _near(line: str, head: str) -> bool:
     """Whether two lines are the same but for a few misread characters."""
-    if abs(len(line) - len(head)) > 3:
-        return False
-    return sum(a == b for a, b in zip(line, head)) >= 0.8 * len(head) or sum(a == b for a, b in zip(line[::-1], head[::-1])) >= 0.8 * len(head) or SequenceMatcher(None, line, head, autojunk=False).quick_ratio() > 0.9 and SequenceMatcher(None, line, head, autojunk=False).ratio() >= 0.88
+    return abs(len(line) - len(head)) < 4 and (_same(line, head) or sum(map(eq, line[::-1], head[::-1])) >= 0.8 * len(head))
 
 
 def _key(line: str) -> str:
