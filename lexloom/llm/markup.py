@@ -68,7 +68,7 @@ _ISLAND = re.compile(
     r"|(?P<wikiref><ref\b[^>/]*/>|<ref\b[^>]*>.*?(?:</ref\s*>|\Z))"
     rf"|(?P<wikitag></?(?:{WIKI_TAGS})\b[^>\n]*>)"
     r"|(?P<wikitable>^\{\|.*?(?:^[ \t]*\|\}|\Z))"
-    r"|(?P<template>\{\{(?:[^{}]|\{\{(?:[^{}]|\{\{[^{}]*\}\})*\}\})*\}\}))",
+    r"|(?P<template>\{\{(?:[^{}]|\{[^{}]*\}|\{\{(?:[^{}]|\{[^{}]*\}|\{\{[^{}]*\}\})*\}\})*\}\}))",
     re.S | re.M,
 )
 _OPENS = re.compile(r"<[!a-zA-Z/]|```|~~~|\\|\$\$|\{[|{]")
@@ -187,8 +187,10 @@ class _Reader:
             rows = [[c.strip() for c in re.split(r"\|\||!!", row.lstrip("|! \t"))] for row in whole.split("\n")[1:] if row.strip() and not row.strip().startswith(("|-", "|}", "|+"))]
             block("wiki/table", "table", "\n".join(" | ".join(r) for r in rows))
         elif kind == "template":
-            if self.tex and not re.match(r"\{\{\s*[A-Za-z]", whole):
+            if not re.match(r"\{\{\s*[^\W\d_]|\{\{\s*[#!:]", whole):
                 return whole
+            if _TEX_ANY.search(whole):
+                self.kinds.add("latex")
             self.kinds.add("wiki")
             self.add("wiki/template", "text", whole)
             return ""
