@@ -127,7 +127,7 @@ def pack_items(items: DataFrame, spec: DataFrame, id_col: str = "doc_id", units:
     left out.
     """
     spark: SparkSession = items.sparkSession
-    kinds = [(r["spec_name"], int(r["capacity"])) for r in spec.where(F.col("capacity") >= 1).orderBy("spec_name").limit(1000).collect()]
+    kinds = [(r["spec_name"], int(r["capacity"])) for r in spec.where(F.col("capacity") >= 1).orderBy("spec_name").collect()]
     columns = ["spec_name", "container", id_col, "piece_no", "start", "n_tokens"]
     if not kinds:
         return items.select(F.lit(None).cast("string").alias("spec_name"), F.lit(None).cast("long").alias("container"), id_col, F.lit(1).alias("piece_no"), F.lit(0).cast("long").alias("start"), F.col("n_tokens").cast("long").alias("n_tokens")).limit(0)

@@ -296,7 +296,7 @@ def identifier(model: Model):
 
 def label_table(lang_labels: DataFrame) -> dict[str, str]:
     """lang_labels as a dict; a small fixed table."""
-    return {r["label"]: r["lang"] for r in lang_labels.where(F.col("label").isNotNull() & F.col("lang").isNotNull()).select("label", "lang").orderBy("label", "lang").limit(10_000).collect()}
+    return {r["label"]: r["lang"] for r in lang_labels.where(F.col("label").isNotNull() & F.col("lang").isNotNull()).select("label", "lang").orderBy("label", "lang").collect()}
 
 
 def identify(df: DataFrame, lang_labels: DataFrame, id_col: str = "record_id", text: str = "clean_text", label: str = "language", tokenizers: str = TOKENIZERS, vocabulary: str = "piece_bpe_32k.model", per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:

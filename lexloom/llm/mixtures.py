@@ -140,7 +140,7 @@ def mix_sources(
     selected.  Ids should be unique; a repeated one is a document of its own.
     """
     spark: SparkSession = df.sparkSession
-    wanted = [(r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.where(F.col("source").isNotNull()).orderBy("source").limit(100_000).collect()]
+    wanted = [(r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.where(F.col("source").isNotNull()).orderBy("source").collect()]
     names = [s for s, _, _ in wanted]
     listed = F.broadcast(targets.where(F.col("source").isNotNull()).select(F.col("source").alias("_listed")).distinct())
     items = count_tokens(df.join(listed, F.col(source) == F.col("_listed"), "left_semi"), [id_col, source], text, tokenizers, vocabulary)
