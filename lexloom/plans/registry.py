@@ -93,7 +93,7 @@ def source_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 def _mix(spark: SparkSession, d: str, auto: bool, fallback: bool, alone: bool = False) -> DataFrame:
     """The mixture by the row of mix_config with these settings; alone: balanced without fallbacks."""
-    rows = [r.asDict() for r in read(spark, d, "mix_config").limit(100).collect() if r["auto_balance"] == auto and (r["science_fallback"] is not None) == fallback]
+    rows = [r.asDict() for r in read(spark, d, "mix_config").collect() if r["auto_balance"] == auto and (r["science_fallback"] is not None) == fallback]
     config = rows[0]
     if alone:
         config, auto = config | {"science_fallback": None, "general_fallback": None}, True
