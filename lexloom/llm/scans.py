@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 from operator import eq
 from os.path import commonprefix
 
@@ -56,15 +57,15 @@ def _is_upper(line: str) -> bool:
 
 
 def _like(line: str, title: str) -> bool:
-    """Whether a line is the beginning of the title, but for case and misread characters."""
-    line, title = line.rstrip(". ").casefold(), title[: len(line) + 4].casefold()
+    """Whether a line is the beginning of a case-folded title, but for case and misread characters."""
+    line = line.rstrip(". ").casefold()
     if len(line) < 8 or line[:1] != title[:1] and line[1:3] != title[1:3]:
         return False
-    return any(_same(line, title[: len(line) + shift]) for shift in (0, 1, -1))
+    return any(_same(line, title[: len(line) + shift]) for shift in (0, 1, -1)) or any(_alike(line, title[: len(line) + shift]) for shift in (0, -1, 1, -2, 2, -3, 3))
 
 
 def _same(line: str, other: str) -> bool:
-    """Whether two lines agree in place, or from both ends up to a character that became two or vanished."""
+    """Whether two lines agree in place, or from both ends up to a character that became two or vanished; a cheap test before _alike."""
     n = max(1, len(line))
     if len(line) == len(other) and sum(map(eq, line, other)) >= 0.85 * n:
         return True
@@ -72,6 +73,18 @@ def _same(line: str, other: str) -> bool:
     return front + len(commonprefix((line[front:][::-1], other[front:][::-1]))) >= 0.88 * n
 
 
+def _alike(line: str, other: str) -> bool:
+    """Whether two lines agree in long enough blocks, wherever their lengths change."""
+    match = SequenceMatcher(None, line, other, autojunk=False)
+    # The quicker ratios are upper bounds.
+    return match.real_quick_ratio() >= 0.88 and match.quick_ratio() >= 0.88 and match.ratio() >= 0.88
+
+
+def _flat(line: str) -> str:
+    """A line without page numbers at its ends and with single spaces."""
+    return " ".join(_PAGED.sub("", line).split())
+
+
 def classes_of(text: str, *titles: str | None) -> list[str]:
     """A class per line: blank, furniture, table, number, heading, equation, code or text.
 
@@ -113,14 +126,14 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
         elif lines[i].startswith("    ") and not (i and out[i - 1] == "text"):
             out[i] = "code"
     # Title and abstract may stand in each other's place; the shorter one is the title.
-    for title in sorted((t for t in titles if wrapped and t), key=len)[:1]:
+    for title in sorted((" ".join(t.split()).casefold() for t in titles if wrapped and t), key=len)[:1]:
         for i in filled:
-            if out[i] == "text" and not (i + 1 < n and re.fullmatch(r"[=-]{3,}", bare[i + 1])) and len(bare[i]) <= len(title) + 12 and _like(_PAGED.sub("", bare[i]), title):
+            if out[i] == "text" and not (i + 1 < n and re.fullmatch(r"[=-]{3,}", bare[i + 1])) and len(flat := _flat(bare[i])) <= len(title) + 12 and _like(flat, title):
                 out[i] = "furniture"
     if wrapped:
-        heads = {_PAGED.sub("", bare[i]) for i in filled if out[i] == "furniture" and len(bare[i]) > 9 and bare[i][:1].isalpha()}
+        heads = {_flat(bare[i]) for i in filled if out[i] == "furniture" and len(bare[i]) > 9 and bare[i][:1].isalpha()}
         for i in filled if heads else ():
-            if out[i] == "text" and 9 < len(bare[i]) < 90 and _at_edge(lines, out, i) and any(_near(_PAGED.sub("", bare[i]), h) for h in heads):
+            if out[i] == "text" and 9 < len(bare[i]) < 90 and _at_edge(lines, out, i) and any(_near(_flat(bare[i]), h) for h in heads):
                 out[i] = "furniture"
         seen = Counter(_key(bare[i]) for i in filled if out[i] == "text" and bare[i][:1].isupper() and len(bare[i]) < 80)
         for i in filled:
@@ -145,7 +158,9 @@ def _at_edge(lines: list[str], out: list[str], i: int) -> bool:
 
 def _near(line: str, head: str) -> bool:
     """Whether two lines are the same but for a few misread characters."""
-    return abs(len(line) - len(head)) < 4 and (_same(line, head) or sum(map(eq, line[::-1], head[::-1])) >= 0.8 * len(head))
+    if abs(len(line) - len(head)) > 3:
+        return False
+    return _same(line, head) or sum(map(eq, line, head)) >= 0.8 * len(head) or sum(map(eq, line[::-1], head[::-1])) >= 0.8 * len(head) or _alike(line, head)
 
 
 def _key(line: str) -> str:
