@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from html.entities import html5
@@ -61,7 +62,7 @@ _ISLAND = re.compile(
     r"|(?P<fence>^(?P<mark>`{3,}|~{3,})[^\n`]*\n.*?(?:^[ ]{0,3}(?P=mark)[`~]*[ \t]*$|\Z))"
     rf"|(?P<texcode>\\begin\{{(?P<cenv>(?:{CODE_ENVIRONMENTS})\*?)\}}(?:\[[^\]\n]*\])?.*?(?:\\end\{{(?P=cenv)\}}|\Z))"
     rf"|(?P<texmath>\\begin\{{(?P<menv>(?:{MATH_ENVIRONMENTS})\*?)\}}.*?(?:\\end\{{(?P=menv)\}}|\Z))"
-    r"|(?P<display>(?<!\\)\\\[.{0,4000}?\\\]|(?<![\\$])\$\$(?!\$).{1,4000}?\$\$)"
+    r"|(?P<display>(?<!\\)\\\[|(?<![\\$])\$\$(?!\$))"
     r"|(?P<pre><(?i:pre)\b[^>]*>.*?(?:</(?i:pre)\s*>|\Z))"
     r"|(?P<wikicode><(?P<stag>syntaxhighlight|source)\b[^>]*>.*?(?:</(?P=stag)\s*>|\Z))"
     r"|(?P<wikimath><math\b[^>]*>.*?(?:</math\s*>|\Z))"
@@ -71,9 +72,11 @@ _ISLAND = re.compile(
     r"|(?P<template>\{\{(?:[^{}]|\{[^{}]*\}|\{\{(?:[^{}]|\{[^{}]*\}|\{\{[^{}]*\}\})*\}\})*\}\}))",
     re.S | re.M,
 )
+#: What closes a display, and how far behind the opener at least.
+_CLOSES = {"\\[": ("\\]", 0), "$$": ("$$", 1)}
 _OPENS = re.compile(r"<[!a-zA-Z/]|```|~~~|\\|\$\$|\{[|{]")
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s[^<>]*?)?)\s*(/?)>")
-_DOCTYPE = re.compile(r"<![A-Za-z][^<>]{0,2000}>")
+_DOCTYPE = re.compile(r"<![A-Za-z][^<>]*>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
 _ATX = re.compile(r"[ ]{0,3}(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t\r]*$")
 _UNDERLINE = re.compile(r"[ ]{0,3}(={3,}|-{3,})[ \t\r]*$")
@@ -88,7 +91,9 @@ _MD_LINK = re.compile(r"(!?)\[([^\[\]\n]*)\]\(([^()\s]+)(?:\s+\"[^\"\n]*\")?\)")
 _MD_NOTE = re.compile(r"\[\^[^\]\s]+\]:?")
 _MD_REF = re.compile(r"(?m)^[ ]{0,3}\[[^\]\n^]+\]:[ \t]+\S+[^\n]*$")
 _MD_AUTO = re.compile(r"<(https?://[^\s<>]+|[\w.+-]+@[\w-]+\.[\w.]+)>")
-_MD_STRONG = re.compile(r"(?<![\w*])\*\*(?=[^\s*])([^\n]{1,400}?)(?<=[^\s*])\*\*(?!\*)|(?<![\w_])__(?=[^\s_])([^\n]{1,400}?)(?<=[^\s_])__(?![\w_])|(?<=[^\x00-\x7f\s*])\*\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*\*(?!\*)")
+# Openers and closers of strong text are runs of just two marks; the last opener stands behind letters that aren't Latin.
+_MD_STRONG_OPENS = tuple(re.compile(x) for x in (r"(?<![\w*])\*\*(?=[^\s*])", r"(?<![\w_])__(?=[^\s_])", r"(?<=[^\x00-\x7f\s*])\*\*(?=[^\s*])"))
+_MD_STRONG_CLOSES = {"**": re.compile(r"(?<=[^\s*])\*\*(?!\*)"), "__": re.compile(r"(?<=[^\s_])__(?![\w_])")}
 _MD_EM = re.compile(r"(?<![\w*\\])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])|(?<![\w_\\])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")
 _MD_STRIKE = re.compile(r"~~(?=[^\s~])([^~\n]+?)(?<=[^\s~])~~")
 _MD_CODE = re.compile(r"(?<!`)`(?!`)([^`\n]+?)`(?!`)")
@@ -97,7 +102,8 @@ _WIKI_EXT = re.compile(r"\[(https?://[^\s\]]+)(?:[ \t]+([^\]\n]*))?\](?!\()")
 _WIKI_QUOTE = re.compile(r"'''''|'''|(?<!')''(?!')")
 _WIKI_MAGIC = re.compile(r"__(?:NO)?(?:TOC|FORCETOC|EDITSECTION|INDEX|GALLERY)__")
 _TEX_ANY = re.compile(r"\\[a-zA-Z]+|\\[%&#_${}()\[\]\\,;!]|[\^_]\{[^{}\n]*\}")
-_TEX_MATH = re.compile(r"(?<![\\$\w])\$(?=[^\s$])((?:[^$\n]|\n(?!\s*\n)){1,400}?)(?<=[^\s\\$])\$(?![\w$])|\\\((.+?)\\\)", re.S)
+# A dollar behind a word opens a formula only before what a formula begins with, as in s$^{-1}$; else it closes one.
+_TEX_MATH = re.compile(r"(?:(?<![\\$\w])\$(?=[^\s$])|(?<=\w)\$(?=[\\^_]))((?:[^$\n]++|\n(?!\s*\n))++)(?<=[^\s\\$])\$(?![\w$])|\\\((.+?)\\\)", re.S)
 _TEX_QUOTES = re.compile(r"``([^`'\n]+?)''")
 _MONEY = re.compile(r"\d[\d.,]*\s+[^\W\d]{2,}")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？]")
@@ -132,11 +138,10 @@ class _Reader:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
         self.tex = "\\begin{" in text or "\\section" in text or "\\subsection" in text
         at, buffer = 0, []
-        for match in _ISLAND.finditer(text) if _OPENS.search(text) else ():
-            kind = match.lastgroup
-            buffer.append(text[at : match.start()])
-            at = match.end()
-            inline = self.island(kind, match.group(), buffer)
+        for kind, start, end in _islands(text) if _OPENS.search(text) else ():
+            buffer.append(text[at:start])
+            at = end
+            inline = self.island(kind, text[start:end], buffer)
             if inline is None:
                 continue
             buffer.append(inline)
@@ -408,10 +413,11 @@ class _Reader:
             kinds.add("wiki")
             text = _WIKI_MAGIC.sub("", text)
         if "*" in text or "_" in text:
-            for rx in (_MD_STRONG, _MD_EM):
-                if rx.search(text):
+            for strip in (_without_strong, _without_em):
+                bare = strip(text)
+                if bare != text:
                     kinds.add("markdown")
-                    text = rx.sub(lambda m: next(g for g in m.groups() if g is not None), text)
+                    text = bare
         if "~~" in text and _MD_STRIKE.search(text):
             kinds.add("markdown")
             text = _MD_STRIKE.sub(r"\1", text)
@@ -439,6 +445,45 @@ class _Reader:
         return text
 
 
+def _islands(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the parts that aren't parsed further; what closes a display is looked for just once from each opener on."""
+    at, missing = 0, set()
+    while match := _ISLAND.search(text, at):
+        kind, start, at = match.lastgroup, match.start(), match.end()
+        if kind == "display":
+            closer, least = _CLOSES[match.group()]
+            end = -1 if closer in missing else text.find(closer, at + least)
+            if end < 0:
+                missing.add(closer)
+                continue
+            at = end + len(closer)
+        yield kind, start, at
+
+
+def _without_strong(text: str) -> str:
+    """Text without the marks of strong text, in one pass over openers and closers, however far apart in a line."""
+    if "**" not in text and "__" not in text:
+        return text
+    opens = sorted((m.start(), order) for order, opener in enumerate(_MD_STRONG_OPENS) for m in opener.finditer(text))
+    closes = {mark: [m.start() for m in closer.finditer(text)] for mark, closer in _MD_STRONG_CLOSES.items()}
+    out, at, line_end = [], 0, -1
+    for start, order in opens:
+        if start < at:
+            continue
+        if line_end < start:
+            line_end = text.find("\n", start) % (len(text) + 1)
+        places = closes[text[start : start + 2]]
+        k = bisect_left(places, start + 3)
+        if k < len(places) and places[k] < line_end and (order < 2 or text.find("*", start + 2) == places[k]):
+            out += [text[at:start], text[start + 2 : places[k]]]
+            at = places[k] + 2
+    return "".join(out) + text[at:]
+
+
+def _without_em(text: str) -> str:
+    return _MD_EM.sub(lambda m: next(g for g in m.groups() if g is not None), text)
+
+
 def _neighbour(before: str, after: str, mark: str) -> bool:
     """Whether the line before or after starts with the same list mark."""
     return any(re.match(rf"{re.escape(mark)}+[ \t]*\S", x) for x in (before, after))

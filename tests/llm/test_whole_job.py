@@ -1,6 +1,10 @@
 """Noise and markup that bounds within the code once left out."""
 
-from lexloom.llm import scans
+import time
+
+import pytest
+
+from lexloom.llm import markup, scans
 
 BODY = "The lattice was measured again at low pressure and\nthe results were the same in every one of the runs.\n" * 3
 
@@ -18,3 +22,31 @@ def test_header_near_another_that_differs_in_two_places():
     assert scans._near("HOW THE MODEL CONTROLS TIIE LATTICE OF GRAPHTE ...", head)
     assert scans._near("HOW THE MODEL CONTROLS THE LATTICE OF GRAPHITE.", head)
     assert not scans._near("Now the model control is a lattice of graphene....", head)
+
+
+LONG = "word and word, " * 700
+
+
+@pytest.mark.parametrize("page, kinds", [(f"**{LONG}end**", {"markdown"}), (f"__{LONG}end__", {"markdown"}), (f"$$ {LONG} $$", {"latex"}), (f"\\[ {LONG} \\]", {"latex"}), (f"so ${LONG}x$ is", {"latex"}), (f"<!DOCTYPE {LONG}>", {"html"})])
+def test_long_spans_of_markup(page, kinds):
+    assert markup.nodes_of(page)[1] == kinds
+
+
+def test_long_formulas_are_kept():
+    body = "\\alpha_{1} + \\frac{a}{b} + " * 400 + "1"
+    for page in (f"A text.\n\n$${body}$$\n\nMore.", f"A text.\n\n\\[{body}\\]\n\nMore."):
+        assert markup.clean_of(page)[0] == f"A text.\n\n$${body}$$\n\nMore."
+    assert f"${body}$" in markup.clean_of(f"A text with ${body}$ in it.")[0]
+    assert markup.clean_of(f"A **{LONG}end** of it.")[0] == f"A {LONG}end of it."
+
+
+def test_text_between_two_formulas_is_no_formula():
+    page = f"At 17.5 s$^{{-1}}$, the \\textbf{{rate}} of {LONG}and then 13.1 s$^{{-1}}$, below it."
+    assert markup.clean_of(page)[0] == f"At 17.5 s$^{{-1}}$, the rate of {LONG}and then 13.1 s$^{{-1}}$, below it."
+
+
+def test_openers_without_closers_take_linear_time():
+    began = time.thread_time()
+    for mark in ("**a ", "__a ", "\\[ a ", "$a ", "<!a"):
+        markup.clean_of(mark * 50_000)
+    assert time.thread_time() - began < 20
