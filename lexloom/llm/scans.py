@@ -32,6 +32,9 @@ from lexloom.llm.common import cut
 # Signs that stand for hyphenation at the end of a line.
 BREAKS = "-‐‑­¬"
 
+#: Characters from which a line is wider than a page's.
+WIDE = 130
+
 _BLANKS = " \t\r\x0c "
 _NUMBERED = re.compile(
     r"(?:[-–—]\s*\d{1,5}\s*[-–—]|\[\s*\d{1,5}\s*\]|p\.\s*\d{1,5}\s*/\s*\d{1,5}|(?:Page|Seite|Página|Pagina|Pág\.|Stranica)\s+\d{1,5}(?:\s*(?:of|von|de|/|sur)\s*\d{1,5})?"
@@ -88,8 +91,8 @@ def _flat(line: str) -> str:
 def classes_of(text: str, *titles: str | None) -> list[str]:
     """A class per line: blank, furniture, table, number, heading, equation, code or text.
 
-    A document whose lines aren't broken to a page's width has no furniture but
-    numbered lines, stamps and dates.
+    A document most of whose text isn't broken to a page's width has no furniture
+    but numbered lines, stamps and dates.
     """
     lines = text.split("\n")
     n = len(lines)
@@ -98,8 +101,7 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     filled = [i for i in range(n) if bare[i]]
     if not filled:
         return ["blank"] * n
-    lengths = sorted(len(bare[i]) for i in filled)
-    wrapped = lengths[-1] < 130 and len(filled) > 3
+    wrapped = len(filled) > 3 and _is_wrapped([len(bare[i]) for i in filled])
     for i in range(n):
         s = bare[i]
         size = len(s)
@@ -150,6 +152,11 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     return out
 
 
+def _is_wrapped(lengths: list[int]) -> bool:
+    """Whether most of the text stands in lines of a page's width; single wide rows or merged paragraphs don't count."""
+    return max(lengths) < WIDE or 2 * sum(x for x in lengths if x >= WIDE) < sum(lengths)
+
+
 def _at_edge(lines: list[str], out: list[str], i: int) -> bool:
     """Whether a line may stand at the edge of a page: at a form feed, or beside something that isn't running text."""
     beside = [out[j] if 0 <= j < len(out) else "blank" for j in (i - 1, i + 1)]

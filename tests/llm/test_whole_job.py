@@ -24,6 +24,14 @@ def test_header_near_another_that_differs_in_two_places():
     assert not scans._near("Now the model control is a lattice of graphene....", head)
 
 
+def test_one_wide_line_leaves_a_page_a_page():
+    wide = "sample   " + "12.5   " * 30
+    text = BODY + "12\n\x0cHOW THE MODEL CONTROLS THE LATTICE ...\n" + BODY + wide + "\n" + BODY
+    assert scans.classes_of(text)[6:8] == ["furniture", "furniture"]
+    merged = BODY.replace("\n", " ") * 8 + "\n\n"
+    assert scans.classes_of(merged + "12\nHOW THE MODEL CONTROLS THE LATTICE ...\n" + merged)[2:4] == ["number", "text"]
+
+
 LONG = "word and word, " * 700
 
 
