@@ -130,11 +130,13 @@ def _running(rows: DataFrame, per: list[str], order: list[str], n_buckets: int,
 
 
 def mix_sources(
-    df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", total: int | None = None, seed: int = SEED,
+    df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", total: int | None = None, seed: int = SEED, fill: bool = False,
     tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken", block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """(shard, pos, <id>, copy, source, n_tokens): the selection, dealt to shards and shuffled within each.
 
+    With fill, the total is all the tokens of the listed sources, whatever the
+    scarcest of them has: too small ones fall short and the others fill up.
     A document occurs at most max_repeats times, as copies 1, 2 ...  Documents
     without tokens, with a null text or of a source that isn't listed are never
     selected.  Ids should be unique; a repeated one is a document of its own.
@@ -146,6 +148,8 @@ def mix_sources(
     items = count_tokens(df.join(listed, F.col(source) == F.col("_listed"), "left_semi"), [id_col, source], text, tokenizers, vocabulary)
     items = cut(items.where(F.col("n_tokens") > 0).select(F.col(id_col), F.col(source).alias("source"), "n_tokens", F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h")))
     have = {r["source"]: (r["t"], r["n"]) for r in items.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
+    if fill and total is None:
+        total = sum(t for t, _ in have.values())
     take = quotas({s: t for s, (t, _) in have.items()}, wanted, total)
     buckets = max(1, ceil(max([n for _, n in have.values()] or [1]) / BUCKET_ROWS) * 2)
     rows = [(s, take[s] // have[s][0], take[s] % have[s][0]) for s in names if s in have and take[s] > 0]

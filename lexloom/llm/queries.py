@@ -73,6 +73,15 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixtures.share_report(cut(p7_mix(spark, d)), read(spark, d, "mix_targets"))
 
 
+def p7_filled(spark: SparkSession, d: str) -> DataFrame:
+    return mixtures.mix_sources(read(spark, d, "documents"), read(spark, d, "mix_targets"), fill=True)
+
+
+def p7_filled_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares where too small sources fall short of their targets."""
+    return mixtures.share_report(cut(p7_filled(spark, d)), read(spark, d, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.look_alike_pairs(read(spark, d, "documents"))
 
@@ -82,5 +91,5 @@ def p8_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p7_mix, p7_shares, p8_found, p8_forms)
+    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p7_mix, p7_shares, p7_filled, p7_filled_shares, p8_found, p8_forms)
     return {q.__name__: q for q in every}

@@ -1,10 +1,11 @@
 """Noise and markup that bounds within the code once left out."""
 
 import time
+from pathlib import Path
 
 import pytest
 
-from lexloom.llm import markup, scans
+from lexloom.llm import markup, mixtures, scans
 
 BODY = "The lattice was measured again at low pressure and\nthe results were the same in every one of the runs.\n" * 3
 
@@ -58,3 +59,15 @@ def test_openers_without_closers_take_linear_time():
     for mark in ("**a ", "__a ", "\\[ a ", "$a ", "<!a"):
         markup.clean_of(mark * 50_000)
     assert time.thread_time() - began < 20
+
+
+@pytest.mark.skipif(not Path("/opt/tokenizers").is_dir(), reason="no vocabulary files")
+def test_scarce_source_falls_short_of_a_filled_mix(spark):
+    rows = [(i, f"word {i} " * 6, s) for i, s in enumerate(["a"] * 300 + ["b"] * 300 + ["c"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 2), ("c", 0.1, 4)], "source string, target_share double, max_repeats int")
+    least, filled = (mixtures.share_report(mixtures.mix_sources(df, targets, fill=x), targets).collect() for x in (False, True))
+    assert sum(r["n_rows"] for r in least) < 50
+    report = {r["source"]: r for r in filled}
+    assert sum(r["n_tokens"] for r in filled) > 0.99 * sum(len(t.split()) for _, t, _ in rows)
+    assert report["c"]["n_rows"] == 4 and report["c"]["reached_share"] < 0.02 and all(r["most_copies"] <= r["max_repeats"] for r in filled)
