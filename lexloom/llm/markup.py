@@ -6,8 +6,9 @@ nodes of a document the length of text and the number of punctuation marks are
 aggregated per path; both ratios are smoothed along the document, fused and
 compared with a threshold that tells content paths from the rest.  Headings,
 list items, code, formulas and tables are structure and stay wherever their
-surroundings are content.  The first step of each path is the kind of markup the
-node was written in, so the same nodes also say which kinds a document holds.
+surroundings are content.  The ratios decide on the text only.  The kinds of
+markup a document holds are noted by the reader as it meets the marks: marks
+within a line make no node, and a list item's path names no kind.
 """
 
 from __future__ import annotations
