@@ -181,6 +181,41 @@ def latex_references(spark: SparkSession, d: str) -> DataFrame:
     return _abstracts(spark, d).select("record_id", cleaning.latex_references(_tex(F.col("abstract"))).alias("text"))
 
 
+def _papers_tex(spark: SparkSession, d: str, step: Callable) -> DataFrame:
+    """A step of TeX cleaning over the whole texts, which is what the steps are for."""
+    return read(spark, d, "papers").where(F.col("full_text").isNotNull()).select("record_id", step(F.col("full_text")).alias("text"))
+
+
+@query
+def latex_body_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_body)
+
+
+@query
+def latex_comments_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_comments)
+
+
+@query
+def latex_equations_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_equations)
+
+
+@query
+def latex_symbols_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_symbols)
+
+
+@query
+def latex_formats_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_formats)
+
+
+@query
+def latex_references_papers(spark: SparkSession, d: str) -> DataFrame:
+    return _papers_tex(spark, d, cleaning.latex_references)
+
+
 @query
 def clean_latex(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "papers").where(F.col("full_text").isNotNull()).select("record_id", cleaning.clean_latex("full_text").alias("text"))
@@ -262,6 +297,12 @@ def token_stats(spark: SparkSession, d: str) -> DataFrame:
     return exact.withColumn("mode", F.lit("exact")).unionByName(logged.withColumn("mode", F.lit("logged")))
 
 
+@query
+def token_stats_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Exact statistics of the texts as they are, which aren't cut to a sequence."""
+    return packing.token_stats(packing.tokenize(_placed(spark, d)), LENGTH).withColumn("mode", F.lit("exact"))
+
+
 @query
 def assign_rank(spark: SparkSession, d: str) -> DataFrame:
     return order.assign_rank(read(spark, d, "documents").select("doc_id"), 7, SEED, ["doc_id"])
