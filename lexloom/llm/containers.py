@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from lexloom.llm.common import TOKENIZERS, cut
 from lexloom.llm.token_budget import count_tokens
 
-#: A container is divided into so many units at most, which bounds the bins of the histogram.
+#: A container is divided into so many units at most, which bounds the bins of the histogram; lengths are rounded up
+#: to units, so capacities above this lose room, and no container takes more items than units.
 UNITS = 1024
 #: So many items at most are numbered by one task.
 BLOCK_ROWS = 100_000
