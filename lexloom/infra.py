@@ -22,12 +22,12 @@ WORKERS, RETRIES, BACKOFF = 8, 3, 2.0
 
 
 def retry(times: int = RETRIES, backoff: float = BACKOFF, exceptions: tuple[type[Exception], ...] = (Exception,), sleep: Callable[[float], None] = time.sleep):
-    """Decorator: one call and up to `times` more, after backoff ** attempt seconds each; the last error is raised."""
+    """Decorator: one call and up to `times` more, after backoff ** 0, backoff ** 1 ... seconds; the last error is raised."""
 
     def around(call: Callable) -> Callable:
         @functools.wraps(call)
         def run(*args: Any, **kwargs: Any) -> Any:
-            for attempt in range(1, times + 1):
+            for attempt in range(times):
                 try:
                     return call(*args, **kwargs)
                 except exceptions:
