@@ -3,65 +3,94 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lexloom.schema import PAPER, conform
+from lexloom.sources.storage import Files
 
 # The sources that are read when none is named, and the file that marks a saved dataset.
 DEFAULT_SOURCES, SAVED_MARK = ("arxiv", "semantic_scholar"), "dataset_info.json"
-
-
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file://")
-
-
-def _local(path: str) -> Path:
-    return Path(path.removeprefix("file://"))
+RESULTS = "arxiv_id string, text string, error string"
 
 
 def read_papers(spark: SparkSession, data_dir: str, source: str | Sequence[str] | None = None, skip_corrupt: bool = True) -> DataFrame:
     """All papers below data_dir/<source>, of the default sources if none is named, in the paper schema.
 
     Missing folders are left out, no file at all gives an empty table, and
-    unreadable files are skipped.  The year comes from the file where it has one
-    (a `year=` folder may disagree), else from the folder.
+    unreadable files are skipped unless skip_corrupt is false, as it has to be for
+    whatever is written back.  The year comes from the file where it has one (a
+    `year=` folder may disagree), else from the folder.
     """
     wanted = DEFAULT_SOURCES if source is None else (source,) if isinstance(source, str) else tuple(source)
-    paths = [f"{data_dir.rstrip('/')}/{s}" for s in wanted]
-    paths = [p for p in paths if not _is_local(p) or _local(p).is_dir()]
+    files = Files(spark, data_dir)
+    paths = [p for s in wanted if files.is_folder(p := f"{data_dir.rstrip('/')}/{s}")]
     if not paths:
         return spark.createDataFrame([], PAPER)
-    reader = spark.read.schema(PAPER).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", str(skip_corrupt).lower())
-    rows = reader.parquet(*paths)
+    rows = _store(spark, paths, skip_corrupt)
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/year=(\d+)/", 1)
     return rows.withColumn("year", F.coalesce("year", F.when(folder != "", folder).cast("int")))
 
 
+def _store(spark: SparkSession, paths: Sequence[str], skip_corrupt: bool) -> DataFrame:
+    reader = spark.read.schema(PAPER).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    return reader.parquet(*paths)
+
+
+def folders_of(spark: SparkSession, data_dir: str, source: str, keys: DataFrame | None = None, key: str = "arxiv_id") -> list[str]:
+    """The year folders of a store, with keys those that hold any of them; only the key is read of every file."""
+    root = f"{data_dir.rstrip('/')}/{source}"
+    if not Files(spark, root).is_folder(root):
+        return []
+    where = F.regexp_extract(F.col("_metadata.file_path"), r"/(year=[^/]+)/[^/]*$", 1)
+    rows = _store(spark, [root], False).select(key, where.alias("folder"))
+    if keys is not None:
+        rows = rows.join(keys.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    found = [r["folder"] for r in rows.select("folder").distinct().collect()]
+    if "" in found:
+        raise ValueError(f"files outside of year folders in {root} can't be replaced")
+    return sorted(found)
+
+
+def read_folders(spark: SparkSession, data_dir: str, source: str, folders: Sequence[str]) -> DataFrame:
+    """The papers of some year folders, to be written back: damaged files are an error, and the year is the folder's."""
+    if not folders:
+        return spark.createDataFrame([], PAPER)
+    rows = _store(spark, [f"{data_dir.rstrip('/')}/{source}/{f}" for f in folders], False)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/year=(\d+)/", 1)
+    return rows.withColumn("year", F.when(folder != "", folder).cast("int"))
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """Extraction results with `delivered`, which orders them: time of the file, its path, and the row's place in it."""
+    at = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return spark.read.schema(RESULTS).parquet(path).select("*", at.alias("delivered"))
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A corpus from a saved dataset, a file or a folder.
+    """A corpus from a saved dataset, a file or a folder, on any file system.
 
     In this order: a folder with a saved dataset, a .parquet file, a .jsonl or
     .json file (one record per line), a folder with parquet files below it (which
     hide all .jsonl there), a folder with .jsonl files below it.  Anything else is
     a ValueError.
     """
-    at = _local(path)
-    if (at / SAVED_MARK).is_file():
+    files = Files(spark, path)
+    if files.is_file(f"{path.rstrip('/')}/{SAVED_MARK}"):
         return read_saved_dataset(spark, path)
-    if at.is_file() and at.suffix == ".parquet":
+    if files.is_file(path) and path.endswith(".parquet"):
         return spark.read.parquet(path)
-    if at.is_file() and at.suffix in (".jsonl", ".json"):
+    if files.is_file(path) and path.endswith((".jsonl", ".json")):
         return spark.read.json(path)
-    if at.is_dir():
-        for pattern, read in (("*.parquet", lambda r: r.option("mergeSchema", "true").parquet(path)), ("*.jsonl", lambda r: r.json(path))):
-            if next(at.rglob(pattern), None) is not None:
-                return read(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern))
+    if files.is_folder(path):
+        for suffix, read in ((".parquet", lambda r: r.option("mergeSchema", "true").parquet(path)), (".jsonl", lambda r: r.json(path))):
+            if next(files.below(path, suffix), None) is not None:
+                return read(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}"))
     raise ValueError(f"no corpus at {path}")
 
 
@@ -70,20 +99,28 @@ class _Part(InputPartition):
         self.path = path
 
 
+def _opened(path: str) -> pa.NativeFile:
+    """A file as a stream, on the file system its scheme names."""
+    if "://" not in path and not path.startswith("file:"):
+        return pa.memory_map(path)
+    system, at = pafs.FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)
+    return system.open_input_stream(at)
+
+
 class _SavedReader(DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, paths: list[str]) -> None:
+        self.paths = paths
 
     def partitions(self) -> list[InputPartition]:
-        return [_Part(str(p)) for p in sorted(Path(self.path).rglob("*.arrow"))]
+        return [_Part(p) for p in self.paths]
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
-        with pa.memory_map(partition.path) as source:
+        with _opened(partition.path) as source:
             yield from pa.ipc.open_stream(source)
 
 
 class SavedDataset(DataSource):
-    """Folders of Arrow stream files, one task per file."""
+    """Files of Arrow streams, one task per file, read batch by batch by the executors from wherever they lie."""
 
     @classmethod
     def name(cls) -> str:
@@ -92,18 +129,23 @@ class SavedDataset(DataSource):
     def schema(self) -> T.StructType:
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        first = min(Path(self.options["path"]).rglob("*.arrow"))
-        with pa.memory_map(str(first)) as source:
+        with _opened(self._paths()[0]) as source:
             return from_arrow_schema(pa.ipc.open_stream(source).schema)
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _SavedReader(self.options["path"])
+        return _SavedReader(self._paths())
+
+    def _paths(self) -> list[str]:
+        return self.options["paths"].split("\n")
 
 
 def read_saved_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """A dataset saved to disk as Arrow streams."""
+    """A dataset saved as Arrow streams."""
     spark.dataSource.register(SavedDataset)
-    return spark.read.format("saved_dataset").option("path", str(_local(path))).load()
+    paths = sorted(Files(spark, path).below(path, ".arrow"))
+    if not paths:
+        raise ValueError(f"no saved dataset at {path}")
+    return spark.read.format("saved_dataset").option("paths", "\n".join(paths)).load()
 
 
 def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +154,10 @@ def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_pdfs(spark: SparkSession, folder: str, content: bool = False) -> DataFrame:
-    """(path, length[, content]) of the PDFs in a folder, not below it; the content is read only when asked for."""
+    """(path, length[, content]) of the PDFs in a folder, not below it; the content is read only when asked for.
+
+    Rows have no order; `path` is what a listing is sorted by.
+    """
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
     return rows.select("path", "length", *(["content"] if content else []))
 

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.sources.storage import Files
+
 # Fixed value: rows of a file.
 ROWS_PER_FILE = 10_000
 
@@ -19,28 +21,40 @@ def append_papers(df: DataFrame, data_dir: str, source: str, rows_per_file: int
     _write(df, f"{data_dir.rstrip('/')}/{source}", "append", rows_per_file)
 
 
-def replace_papers(df: DataFrame, data_dir: str, source: str, rows_per_file: int = ROWS_PER_FILE, drop_null_year: bool = False) -> None:
-    """Replaces the years that df has rows of, and no others.
+def replace_papers(df: DataFrame, data_dir: str, source: str, rows_per_file: int = ROWS_PER_FILE, drop_null_year: bool = False) -> list[str]:
+    """Replaces the years that df has rows of, and no others; gives their folders' names.
 
-    df may have been read from the folder it replaces: it is written beside it
-    first and read back, so the input is complete before anything is deleted.
+    df may have been read from the folder it replaces: everything is written
+    beside it before the first folder is moved, each old year is moved aside
+    before the new one takes its place, and the old ones are deleted when all
+    are in place.  After a failure nothing has been deleted: a year that couldn't
+    be put in place is moved back, and what was written stays in
+    data_dir/_staging_….  A df read with damaged files skipped would lose what
+    they hold; read with skip_corrupt=False.
     """
-    target = f"{data_dir.rstrip('/')}/{source}"
+    root = data_dir.rstrip("/")
+    target, tag = f"{root}/{source}", uuid.uuid4().hex
+    staging, aside = f"{root}/_staging_{tag}", f"{root}/_replaced_{tag}"
     if drop_null_year:
         df = df.where(F.col("year").isNotNull())
-    staging = f"{data_dir.rstrip('/')}/_staging_{uuid.uuid4().hex}"
-    spark = df.sparkSession
-    df.write.parquet(staging)
-    try:
-        _write(spark.read.schema(df.schema).parquet(staging), target, "overwrite", rows_per_file)
-    finally:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(staging)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _write(df, staging, "errorifexists", rows_per_file)
+    files = Files(df.sparkSession, root)
+    years = [name for name in files.folders(staging) if name.startswith("year=")]
+    for name in years:
+        had = files.is_folder(f"{target}/{name}")
+        if had:
+            files.move(f"{target}/{name}", f"{aside}/{name}")
+        try:
+            files.move(f"{staging}/{name}", f"{target}/{name}")
+        except Exception:
+            if had:
+                files.move(f"{aside}/{name}", f"{target}/{name}")
+            raise
+    files.delete(staging)
+    files.delete(aside)
+    return years
 
 
 def _write(df: DataFrame, target: str, mode: str, rows_per_file: int) -> None:
-    # Hashing by year alone would make the largest year one task; a salt taken from the id bounds what a task writes.
-    salt = F.pmod(F.xxhash64("record_id"), F.lit(8))
-    spread = df.repartition(F.col("year"), salt)
-    spread.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(target)
+    # Rebalancing by year splits large years and merges small ones by their measured size.
+    df.hint("rebalance", F.col("year")).write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy("year").parquet(target)

@@ -7,18 +7,33 @@ each file of results is merged once, also after a restart.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexloom.operators.records import merge_parsed
-from lexloom.sources.readers import read_papers
+from lexloom.sources.readers import RESULTS, folders_of, read_folders
 from lexloom.sources.writers import replace_papers
 
-RESULTS = "arxiv_id string, text string, error string"
-
 
 def stream_results(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
-    """New files of results as a stream."""
-    return spark.readStream.schema(RESULTS).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """New files of results as a stream, with `delivered`, which orders them."""
+    at = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return spark.readStream.schema(RESULTS).option("maxFilesPerTrigger", files_per_trigger).parquet(folder).select("*", at.alias("delivered"))
+
+
+def merge_into_store(results: DataFrame, data_dir: str, source: str, backend: str = "pymupdf4llm") -> list[str]:
+    """Merges results into data_dir/<source>; gives the year folders it rewrote.
+
+    The years to rewrite are found by a semi join on ids alone, then only those
+    are read whole.  A damaged file there is an error, before anything has been
+    touched: skipping it would lose its rows when the year is replaced.
+    """
+    spark = results.sparkSession
+    folders = folders_of(spark, data_dir, source, results.where(F.col("text") != ""))
+    if not folders:
+        return []
+    merged = merge_parsed(read_folders(spark, data_dir, source, folders), results, backend)
+    return replace_papers(merged.drop("_matched"), data_dir, source)
 
 
 def merge_stream(results: DataFrame, data_dir: str, source: str, checkpoint: str, backend: str = "pymupdf4llm", once: bool = True) -> StreamingQuery:
@@ -28,11 +43,7 @@ def merge_stream(results: DataFrame, data_dir: str, source: str, checkpoint: str
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        papers = read_papers(spark, data_dir, source)
-        merged = merge_parsed(papers, batch, backend)
-        years = merged.where("_matched").select("year").distinct()
-        replace_papers(merged.join(years, merged["year"].eqNullSafe(years["year"]), "left_semi").drop("_matched"), data_dir, source)
+        merge_into_store(batch, data_dir, source, backend)
 
     writer = results.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
