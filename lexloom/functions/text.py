@@ -99,21 +99,11 @@ def path_of_id(id_: Column, folder: str) -> Column:
     return F.concat(F.lit(folder.rstrip("/") + "/"), F.translate(id_, "/", "_"), F.lit(".pdf"))
 
 
-def join_pages(pages: Column) -> Column:
-    """Pages that aren't blank, a line feed between them."""
-    return F.array_join(F.filter(pages, lambda p: F.length(strip(p)) > 0), "\n")
-
-
 def scrub_surrogates(text: str) -> str:
     """Lone surrogates replaced, for extractors that return such strings."""
     return "".join("�" if "\ud800" <= ch <= "\udfff" else ch for ch in text)
 
 
-def long_enough(c: Column, least: int, stripped: bool) -> Column:
-    """Whether an extractor's output counts as text."""
-    return F.coalesce(F.length(strip(c) if stripped else c) > least, F.lit(False))
-
-
 def truthy(c: Column) -> Column:
     """Neither null nor empty, never null itself."""
     return c.isNotNull() & (c != "")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.operators.order import sample_exact, shuffle_key
+from lexloom.operators.order import first_rows, sample_exact, shuffle_key
 from lexloom.schema import normalize_to_corpus
 
 # The labels that supplements are given.
@@ -55,20 +55,13 @@ def plan_mix(n_science: int, n_general: int, least: float, most: float, auto_bal
     return MixPlan("fewer general", keep_general=max(1, general_wanted))
 
 
-def supplement(external: DataFrame, take: int, label: str, order: Sequence[str], id_col: str | None = "id", text: str = "text", name: str = "external") -> DataFrame:
+def supplement(external: DataFrame, take: int, label: str, order: Sequence[str | Column], id_col: str | None = "id", text: str = "text", name: str = "external") -> DataFrame:
     """The first `take` rows of an external corpus, of which those without text are then dropped, in the corpus schema.
 
     So it may give fewer rows than asked for.  A missing id becomes name:position.
     """
-    first = external.orderBy(*order).limit(max(0, take))
-    if id_col is None:
-        from pyspark.sql import Window as W
-
-        # `take` rows have been chosen; numbering them needs one order over those alone.
-        first = first.withColumn("_n", F.row_number().over(W.orderBy(*order)) - 1)
-        key = F.concat(F.lit(f"{name}:"), F.col("_n").cast("string"))
-    else:
-        key = F.col(id_col).cast("string")
+    first = first_rows(external, take, order, "_n" if id_col is None else None)
+    key = F.concat(F.lit(f"{name}:"), F.col("_n").cast("string")) if id_col is None else F.col(id_col).cast("string")
     rows = first.where(F.col(text).isNotNull() & (F.col(text) != ""))
     optional = {c: F.col(c).cast("string") if c in external.columns else F.lit(None).cast("string") for c in ("url", "created", "version")}
     return rows.select(
@@ -85,22 +78,22 @@ def counts(science: DataFrame, general: DataFrame) -> tuple[int, int]:
 
 def adjust_mixing(
     science: DataFrame, general: DataFrame, least: float, most: float, auto_balance: bool = True, science_fallback: DataFrame | None = None, general_fallback: DataFrame | None = None,
-    seed: int = 42, fallback_order: Sequence[str] = ("id",), fallback_ids: Sequence[str | None] = ("id", "id"),
+    seed: int = 42, science_order: Sequence[str | Column] = ("id",), general_order: Sequence[str | Column] = ("id",), fallback_ids: Sequence[str | None] = ("id", "id"),
+    fallback_texts: Sequence[str] = ("text", "text"),
 ) -> DataFrame:
     """Both sides in one corpus-shaped table with a column `shuffle_key` that gives its shuffled order.
 
-    Raises ValueError if both sides are empty.
+    Both sides are counted once.  Raises ValueError if they are empty.
     """
-    plan = plan_mix(*counts(science, general), least, most, auto_balance, science_fallback is not None, general_fallback is not None)
+    n_science, n_general = counts(science, general)
+    plan = plan_mix(n_science, n_general, least, most, auto_balance, science_fallback is not None, general_fallback is not None)
     s, g = normalize_to_corpus(science), normalize_to_corpus(general)
     if plan.keep_science is not None:
-        s = sample_exact(s, plan.keep_science, seed, DELIVERY)
+        s = sample_exact(s, plan.keep_science, seed, DELIVERY, n_science)
     if plan.keep_general is not None:
-        g = sample_exact(g, plan.keep_general, seed, DELIVERY)
+        g = sample_exact(g, plan.keep_general, seed, DELIVERY, n_general)
     if plan.add_science:
-        s = s.unionByName(supplement(science_fallback, plan.add_science, SCIENCE_LABEL, fallback_order, fallback_ids[0]))
+        s = s.unionByName(supplement(science_fallback, plan.add_science, SCIENCE_LABEL, science_order, fallback_ids[0], fallback_texts[0]))
     if plan.add_general:
-        g = g.unionByName(supplement(general_fallback, plan.add_general, GENERAL_LABEL, fallback_order, fallback_ids[1]))
+        g = g.unionByName(supplement(general_fallback, plan.add_general, GENERAL_LABEL, general_order, fallback_ids[1], fallback_texts[1]))
     return s.unionByName(g).withColumn("shuffle_key", shuffle_key(seed, *DELIVERY))
-
-

@@ -49,6 +49,7 @@ class _Text(HTMLParser):
 def html_text(content: bytes) -> str:
     reader = _Text()
     reader.feed(content.decode("utf-8", "replace"))
+    reader.close()
     return re.sub(r"\n{2,}", "\n", re.sub(r"[ \t]+", " ", "".join(reader.parts))).strip()
 
 
@@ -83,18 +84,25 @@ def _docling(content: bytes) -> str:
     return converter.convert(DocumentStream(name="document.pdf", stream=io.BytesIO(content))).document.export_to_markdown()
 
 
-def _mineru(content: bytes) -> str:
-    import tempfile
-    from pathlib import Path
+def mineru(language: str = "ch") -> Backend:
+    """The backend for one of the library's languages; it finds out per document whether to recognise characters or to take the text there is."""
 
-    from mineru.cli.common import do_parse
+    def run(content: bytes) -> str:
+        import tempfile
+        from pathlib import Path
 
-    with tempfile.TemporaryDirectory() as folder:
-        do_parse(folder, ["document"], [content], ["en"])
-        return next(Path(folder).rglob("*.md")).read_text()
+        from mineru.cli.common import do_parse
 
+        with tempfile.TemporaryDirectory() as folder:
+            do_parse(folder, ["document"], [content], [language], backend="pipeline", parse_method="auto")
+            return next(Path(folder).rglob("*.md")).read_text("utf-8")
 
-BACKENDS: dict[str, Backend] = {"html": html_text, "plain": plain_text, "pymupdf": _pymupdf, "pymupdf4llm": _pymupdf4llm, "docling": _docling, "mineru": _mineru}
+    return run
+
+
+BACKENDS: dict[str, Backend] = {"html": html_text, "plain": plain_text, "pymupdf": _pymupdf, "pymupdf4llm": _pymupdf4llm, "docling": _docling, "mineru": mineru()}
+#: Backends whose output is cleaned as text extracted from a PDF.
+RAW = {"pymupdf"}
 
 
 def register(name: str, backend: Backend) -> None:
@@ -108,12 +116,26 @@ def backend_of(name: str) -> Backend:
     return BACKENDS[name]
 
 
-def parse(df: DataFrame, backend: str, content: str = "content", profile: str = "batch") -> DataFrame:
+def read_content(path: str) -> bytes:
+    """The bytes of a file, on this machine or on whatever file system its scheme names."""
+    if "://" not in path:
+        with open(path.removeprefix("file:"), "rb") as file:
+            return file.read()
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(at) as file:
+        return file.read()
+
+
+def parse(df: DataFrame, backend: str, content: str = "content", profile: str = "batch", path: str | None = None) -> DataFrame:
     """df with `text`, `error` and `seconds` instead of its content.
 
-    The batch profile wants more than 50 characters without outer white space,
-    the library profile more than 200 with it; less is an error.  Null content is
-    an error too.
+    With path, the tasks read the files that this column names instead, and the
+    column stays.  The batch profile wants more than 50 characters without outer
+    white space, the library profile more than 200 with it; less is an error.
+    Null content and missing files are errors too.  The output of backends in
+    RAW is cleaned in the library profile.
     """
     run, stripped = backend_of(backend), profile == "batch"
     least = LEAST_BATCH if stripped else LEAST_LIBRARY
@@ -124,6 +146,7 @@ def parse(df: DataFrame, backend: str, content: str = "content", profile: str =
             for value in batch:
                 began = time.perf_counter()
                 try:
+                    value = read_content(value) if value is not None and path else value
                     out = run(bytes(value)) if value is not None else None
                     found = out is not None and len(out.strip() if stripped else out) > least
                     rows.append((text.scrub_surrogates(out) if found else None, None if found else "no text"))
@@ -135,8 +158,10 @@ def parse(df: DataFrame, backend: str, content: str = "content", profile: str =
             yield pd.DataFrame(rows, columns=["text", "error", "seconds"])
 
     result = F.pandas_udf(of, "text string, error string, seconds double")
-    keep = [c for c in df.columns if c not in (content, "text", "error", "seconds")]
-    return df.select(*keep, result(F.col(content)).alias("_r")).select(*keep, "_r.text", "_r.error", "_r.seconds")
+    keep = [c for c in df.columns if c not in ((() if path else (content,)) + ("text", "error", "seconds"))]
+    found = df.select(*keep, result(F.col(path or content)).alias("_r"))
+    out = cleaning.clean_pdf_text(F.col("_r.text")) if backend in RAW and not stripped else F.col("_r.text")
+    return found.select(*keep, out.alias("text"), "_r.error", "_r.seconds")
 
 
 def compare_backends(df: DataFrame, backends: Sequence[str], id_col: str = "arxiv_id", content: str = "content") -> DataFrame:
@@ -164,10 +189,14 @@ def parse_stats(results: DataFrame) -> DataFrame:
 
 
 def library_update(papers: DataFrame, parsed: DataFrame, backend: str, id_col: str = "record_id") -> DataFrame:
-    """papers with the texts of parsed (<id>, text) as the library profile sets them: clean text, tokens and language too."""
-    fresh = papers.join(parsed.where(text.truthy(F.col("text"))).select(id_col, F.col("text").alias("_text")).dropDuplicates([id_col]), id_col, "left")
+    """papers with the texts of parsed (<id>, text) as the library profile sets them: clean text, tokens and language too.
+
+    Of several texts for one id the greatest counts.
+    """
+    texts = parsed.where(text.truthy(F.col("text"))).groupBy(id_col).agg(F.max("text").alias("_text"))
+    fresh = papers.join(texts, id_col, "left")
     hit = F.col("_text").isNotNull()
-    clean = cleaning.clean_pdf_text(F.col("_text")) if backend == "pymupdf" else F.col("_text")
+    clean = F.col("_text")
     set_to = {
         "full_text": clean, "clean_text": clean, "has_full_text": F.lit(True), "full_text_format": F.lit("pdf_markdown"), "full_text_source_type": F.lit(f"arxiv_pdf_{backend}"),
         "full_text_status": F.lit("success"), "token_count_approx": text.token_count(clean), "language": text.detect_language(clean),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import cleaning, text
+from lexloom.operators import parsing
 
 # States, formats and source types of a paper's full text.
 ABSTRACT_ONLY, DOWNLOADED, PARSED, SUCCESS = "abstract_only", "pdf_downloaded", "pdf_parsed", "success"
@@ -46,6 +47,11 @@ def clean_all(papers: DataFrame, strict_format: bool = False) -> DataFrame:
     }).drop("_full")
 
 
+def cleaned_count(papers: DataFrame) -> DataFrame:
+    """(n_cleaned): how many papers have a full text that clean_all cleans."""
+    return papers.agg(F.count_if(is_true(F.col("has_full_text")) & text.truthy(F.col("full_text"))).alias("n_cleaned"))
+
+
 def exact_dedup(papers: DataFrame, id_col: str = "record_id") -> DataFrame:
     """(<id>, content_hash, is_duplicate) with the hash computed anew; the smallest id of a hash is no duplicate.
 
@@ -57,22 +63,27 @@ def exact_dedup(papers: DataFrame, id_col: str = "record_id") -> DataFrame:
     return hashed.join(firsts, "content_hash").select(id_col, "content_hash", (F.col(id_col) != F.col("_first")).alias("is_duplicate"))
 
 
-def latest_results(results: DataFrame, key: str = "arxiv_id", order: Sequence[str] = ("text",)) -> DataFrame:
-    """One result per key, the last in the given order; without it, a merge would multiply rows."""
-    return results.groupBy(key).agg(F.max_by(F.struct(*[c for c in results.columns if c != key]), F.struct(*order)).alias("_r")).select(key, "_r.*")
+def latest_results(results: DataFrame, key: str = "arxiv_id", order: Sequence[str] = ("delivered",)) -> DataFrame:
+    """One result per key, the last in the order of delivery; without it, a merge would multiply rows."""
+    kept = [c for c in results.columns if c != key and c not in order]
+    return results.groupBy(key).agg(F.max_by(F.struct(*kept), F.struct(*order)).alias("_r")).select(key, "_r.*")
 
 
-def merge_parsed(papers: DataFrame, results: DataFrame, backend: str = "pymupdf4llm", key: str = "arxiv_id", order: Sequence[str] = ("text",)) -> DataFrame:
+def merge_parsed(papers: DataFrame, results: DataFrame, backend: str = "pymupdf4llm", key: str = "arxiv_id", order: Sequence[str] = ("delivered",)) -> DataFrame:
     """papers with the texts of results: matched papers are updated in five columns, unmatched results are dropped.
 
-    Results without text don't count.  Adds `_matched`, for counting updates.
+    Results without text don't count; of several for one key the last delivered
+    does, by the columns of `order`, which results must have.  Adds `_matched`,
+    for counting updates.
     """
-    if backend not in SOURCE_TYPES:
+    if backend not in SOURCE_TYPES and backend not in parsing.BACKENDS:
         raise ValueError(f"no such backend: {backend}")
-    texts = latest_results(results.where(text.truthy(F.col("text")) & F.col(key).isNotNull()).select(key, "text"), key, order)
+    if missing := [c for c in order if c not in results.columns]:
+        raise KeyError(f"no columns {missing} to order results by")
+    texts = latest_results(results.where(text.truthy(F.col("text")) & F.col(key).isNotNull()).select(key, "text", *order), key, order)
     merged = papers.join(texts.withColumnRenamed("text", "_text"), key, "left")
     hit = F.col("_text").isNotNull()
-    set_to = {"full_text": F.col("_text"), "has_full_text": F.lit(True), "full_text_format": F.lit(MARKDOWN), "full_text_source_type": F.lit(SOURCE_TYPES[backend]), "full_text_status": F.lit(PARSED)}
+    set_to = {"full_text": F.col("_text"), "has_full_text": F.lit(True), "full_text_format": F.lit(MARKDOWN), "full_text_source_type": F.lit(SOURCE_TYPES.get(backend, f"arxiv_pdf_{backend}")), "full_text_status": F.lit(PARSED)}
     return merged.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in set_to.items()} | {"_matched": hit}).drop("_text").select(*papers.columns, "_matched")
 
 
