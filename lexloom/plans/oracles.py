@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-from lexloom.functions import cleaning
 from lexloom.functions.text import FUNCTION_WORDS
 from lexloom.plans import registry as q
+from lexloom.plans import tex_sql as tex
 
-# Fixed value: white space as Python sees it.
-_BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
-
-def _text(value: str) -> str:
-    """A string with control characters as an SQL expression."""
-    return "'" + value.replace("'", "''") + "'"
-
-
-def _sub(c: str, pattern: str, to: str, flags: str = "g") -> str:
-    return f"regexp_replace({c}, {_text(pattern)}, {_text(to)}, '{flags}')"
-
-
-def _strip(c: str) -> str:
-    return _sub(_sub(c, rf"^{_BLANK}+", "", ""), rf"{_BLANK}+$", "", "")
+_BLANK, _text, _sub, _strip = tex.BLANK, tex.text, tex.sub, tex.strip
 
 
 def _norm(c: str) -> str:
@@ -49,38 +35,12 @@ def _pdf(c: str) -> str:
     return _strip(_sub(_sub(c, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 
-def _tex_query(expression: str) -> str:
-    return f"SELECT record_id, {expression} AS text FROM (SELECT record_id, {_text(q.TEX_HEAD)} || abstract || {_text(q.TEX_TAIL)} AS t FROM papers WHERE abstract IS NOT NULL)"
-
-
-def _equations() -> str:
-    c = "t"
-    for env in cleaning.EQUATION_ENVIRONMENTS:
-        name = env.replace("*", r"\*")
-        c = _sub(c, rf"(?s)\\begin\{{{name}\}}.*?\\end\{{{name}\}}", cleaning.EQUATION_MARK)
-    return _sub(_sub(c, r"(?s)\\\[.*?\\\]", cleaning.EQUATION_MARK), r"(?s)\$\$.*?\$\$", cleaning.EQUATION_MARK)
-
+def _over_texts(expression: str) -> str:
+    return f"SELECT record_id, {expression} AS text FROM papers WHERE full_text IS NOT NULL"
 
-def _symbols() -> str:
-    c = "t"
-    for name, to in cleaning.SYMBOLS.items():
-        c = f"replace({c}, '\\{name}', '{to}')"
-    return c
 
-
-def _formats() -> str:
-    c = "t"
-    for name in [*cleaning.FORMAT_COMMANDS[:17], "underline", *cleaning.FORMAT_COMMANDS[17:]]:
-        c = _sub(c, rf"\\{name}\{{([^}}]*)\}}", r"\1")
-    return c
-
-
-def _references() -> str:
-    c = _sub("t", rf"\\(?:{'|'.join(cleaning.CITES)})\*?\{{[^}}]*\}}", "")
-    return _sub(c, rf"\\(?:{'|'.join(cleaning.REFERENCES)})\{{[^}}]*\}}", "")
-
-
-def _language(c: str) -> str:
+def _language(source: str, key: str, c: str) -> str:
+    """(key, language) of the rows of a query."""
     count = lambda cls: f"length(regexp_replace({c}, '[^{cls}]', '', 'g'))"
     rows = ", ".join(
         f"len(list_filter(w, lambda x: x IN ({', '.join(_text(x) for x in words.split())}))) AS {lang}_n" for lang, words in FUNCTION_WORDS.items()
@@ -88,15 +48,42 @@ def _language(c: str) -> str:
     best = "greatest(" + ", ".join(f"{lang}_n" for lang in FUNCTION_WORDS) + ")"
     cases = " ".join(f"WHEN {lang}_n = {best} THEN '{lang}'" for lang in FUNCTION_WORDS)
     return rf"""
-        WITH s AS (SELECT doc_id, {c} AS t, regexp_split_to_array(lower({c}), '[^\p{{L}}]+') AS w,
-                   {count(r'\x{ac00}-\x{d7a3}')} AS h, {count(r'\x{3041}-\x{30ff}')} AS k, {count(r'\x{4e00}-\x{9fff}')} AS z FROM documents),
+        WITH s AS (SELECT {key}, {c} AS t, regexp_split_to_array(lower({c}), '[^\p{{L}}]+') AS w,
+                   {count(r'\x{ac00}-\x{d7a3}')} AS h, {count(r'\x{3041}-\x{30ff}')} AS k, {count(r'\x{4e00}-\x{9fff}')} AS z FROM ({source})),
              n AS (SELECT *, {rows} FROM s)
-        SELECT doc_id, CASE WHEN t IS NULL OR length({_strip('t')}) < 20 THEN 'en'
+        SELECT {key}, CASE WHEN t IS NULL OR length({_strip('t')}) < 20 THEN 'en'
             WHEN (h + k + z) * 4 >= length(t) THEN CASE WHEN h >= k AND h >= z THEN 'ko' WHEN k * 10 >= z THEN 'ja' ELSE 'zh' END
             {cases} END AS language FROM n
     """
 
 
+def _cleaned(columns: str, source: str = "arxiv") -> str:
+    """Common tables: c (record_id, clean_text, language) of the full texts of a source, and r, what cleaning makes of each record."""
+    return f"""
+        a AS (SELECT *, coalesce(has_full_text, false) AND full_text <> '' AS has FROM papers WHERE source = '{source}'),
+        x AS ({tex.cleaned("SELECT record_id, full_text FROM a WHERE has AND coalesce(full_text_format, '') <> 'pdf_text'", "full_text", "record_id")}),
+        f AS (SELECT record_id, t FROM x UNION ALL SELECT record_id, {_pdf('full_text')} FROM a WHERE has AND full_text_format = 'pdf_text'),
+        g AS ({_language("SELECT record_id, t FROM f", "record_id", "t")}),
+        r0 AS (SELECT a.*, f.t, g.language AS found, (coalesce(full_text_status = 'abstract_only', false) OR NOT coalesce(has_full_text, false)) AND coalesce(abstract, '') <> '' AS own
+               FROM a LEFT JOIN f USING (record_id) LEFT JOIN g USING (record_id)),
+        r AS (SELECT record_id, CASE WHEN own THEN abstract WHEN has THEN t ELSE clean_text END AS clean_text,
+                     CAST(CASE WHEN own THEN {_words('abstract')} WHEN has THEN {_words('t')} ELSE token_count_approx END AS INTEGER) AS token_count_approx,
+                     CASE WHEN has THEN found ELSE language END AS language FROM r0)
+    """
+
+
+def _page(c: str) -> str:
+    """The text of a page: tags at whose start a block begins are line ends, all others nothing."""
+    for pattern, to in (
+        (r"(?s)<!--.*?-->", ""), (r"(?is)<script\b[^>]*>.*?</script[^>]*>", ""), (r"(?is)<style\b[^>]*>.*?</style[^>]*>", ""), (r"<![A-Za-z][^>]*>", ""),
+        (r"(?i)<(?:p|div|br|li|tr|h[1-6])(?:[\s/][^>]*)?>", "\n"), (r"</?[a-zA-Z][^>]*>", ""),
+    ):
+        c = _sub(c, pattern, to)
+    for name, sign in (("lt", "<"), ("gt", ">"), ("ldquo", "“"), ("rdquo", "”"), ("nbsp", "\u00a0"), ("#32", " "), ("quot", '"'), ("amp", "&")):
+        c = f"replace({c}, '&{name};', '{sign}')"
+    return _strip(_sub(_sub(c, r"[ \t]+", " "), r"\n{2,}", "\n"))
+
+
 def _key(seed: int, *columns: str) -> str:
     return f"sha256('{seed}'" + "".join(f" || '|' || coalesce(CAST({c} AS VARCHAR), '')" for c in columns) + ")"
 
@@ -104,11 +91,13 @@ def _key(seed: int, *columns: str) -> str:
 _DELIVERY = ("id", "version", "added", "created", "url", "text")
 
 
-def _mix(auto: bool, fallback: bool, alone: bool = False) -> str:
-    """The mixture by the row of mix_config with these settings (alone: balanced without fallbacks); the plan is worked out in SQL."""
-    config = "* REPLACE (true AS auto_balance, CAST(NULL AS VARCHAR) AS science_fallback, CAST(NULL AS VARCHAR) AS general_fallback)" if alone else "*"
+def _mix(auto: bool, fallback: bool, alone: bool = False, bounds: tuple[float, float] | None = None, with_text: bool = False) -> str:
+    """The mixture by the row of mix_config with these settings (alone: balanced without fallbacks), within other bounds if given; the plan is worked out in SQL."""
+    changed = ["true AS auto_balance", "CAST(NULL AS VARCHAR) AS science_fallback", "CAST(NULL AS VARCHAR) AS general_fallback"] if alone else []
+    changed += [f"{bounds[0]}::DOUBLE AS science_ratio_min", f"{bounds[1]}::DOUBLE AS science_ratio_max"] if bounds else []
+    config = f"* REPLACE ({', '.join(changed)})" if changed else "*"
     columns = "id, source, url, text, created, added, version"
-    order = ", ".join(f"{c} NULLS FIRST" for c in _DELIVERY)
+    order = ", ".join(f"{c} NULLS FIRST" for c in ("id", "version", "added", "created", "url", "sha256(text)"))
     return f"""
         WITH c AS (SELECT {config} FROM mix_config WHERE auto_balance = {auto} AND (science_fallback IS NOT NULL) = {fallback} ORDER BY ALL LIMIT 1),
              s AS (SELECT {columns} FROM corpus WHERE source = 'pes2o_or_crawled'),
@@ -129,24 +118,43 @@ def _mix(auto: bool, fallback: bool, alone: bool = False) -> str:
                    UNION ALL SELECT {columns} FROM g1, a WHERE i <= kg
                    UNION ALL SELECT id, 'pes2o_or_crawled', url, text, created, NULL, version FROM es, a WHERE i <= xs AND text <> ''
                    UNION ALL SELECT CAST(doc_id AS VARCHAR), 'general', url, text, created, NULL, version FROM eg, a WHERE i <= xg AND text <> '')
-        SELECT id, source, version, {_key(q.SEED, *_DELIVERY)} AS shuffle_key FROM m
+        SELECT id, source, version, {_key(q.SEED, *_DELIVERY)} AS shuffle_key{", text" if with_text else ""} FROM m
     """
 
 
-def _geometry(n: str = "(SELECT count(*) FROM documents)") -> str:
+def _geometry(table: str = "documents", id_: str = "doc_id") -> str:
     """Shard and batch of a position, of contiguous shards of which the first are one row longer."""
+    n = f"(SELECT count(*) FROM {table})"
     return f"""
-        o AS (SELECT doc_id, text, row_number() OVER (ORDER BY {_key(q.SEED, 'doc_id')}) - 1 AS pos FROM documents),
+        o AS (SELECT {id_}, text, row_number() OVER (ORDER BY {_key(q.SEED, id_)}) - 1 AS pos FROM {table}),
         z AS (SELECT *, {n} AS n, least({q.SHARDS}, {n}) AS p FROM o),
         y AS (SELECT *, n // p AS size, n % p AS longer FROM z),
         x AS (SELECT *, CASE WHEN pos < longer * (size + 1) THEN pos // (size + 1) ELSE longer + (pos - longer * (size + 1)) // greatest(size, 1) END AS shard FROM y),
-        placed AS (SELECT doc_id, text, pos, CAST(shard AS INTEGER) AS shard,
+        placed AS (SELECT {id_}, text, pos, CAST(shard AS INTEGER) AS shard,
                    CAST((pos - CASE WHEN shard < longer THEN shard * (size + 1) ELSE longer * (size + 1) + (shard - longer) * size END) // {q.BATCH} AS INTEGER) AS batch FROM x)
     """
 
 
-_LATEST = "r AS (SELECT arxiv_id, max(text) AS text FROM parse_results WHERE text <> '' AND arxiv_id IS NOT NULL GROUP BY arxiv_id)"
+# The table's rows are in the order of delivery, which DuckDB keeps.
+_LATEST = """
+    d AS (SELECT *, row_number() OVER () AS i FROM parse_results),
+    r AS (SELECT arxiv_id, arg_max(text, i) AS text FROM d WHERE text <> '' AND arxiv_id IS NOT NULL GROUP BY arxiv_id)
+"""
 _HAS = "coalesce(has_full_text, false)"
+#: Papers with a file: its id, and the path that a listing names.
+_FILES = "w AS (SELECT record_id, arxiv_id, full_text, regexp_extract(pdf_path, '([^/]*)$', 1) AS name FROM papers WHERE source = 'arxiv' AND pdf_path IS NOT NULL AND full_text IS NOT NULL)"
+_ID_OF_NAME = r"replace(regexp_replace(name, '\.[^./]*$', ''), '_', '/')"
+
+
+def _parsed(wanted: str) -> str:
+    """Papers after the plain backend's texts of their files were merged, where they are wanted."""
+    return f"""
+        WITH {_FILES}, t AS (SELECT {_ID_OF_NAME} AS arxiv_id, full_text AS t FROM w WHERE length({_strip('full_text')}) > 50),
+             h AS (SELECT p.*, t, t IS NOT NULL AND {wanted} AS hit FROM papers p LEFT JOIN t ON p.arxiv_id = t.arxiv_id AND p.source = 'arxiv')
+        SELECT record_id, CASE WHEN hit THEN t ELSE full_text END AS full_text, CASE WHEN hit THEN 'markdown' ELSE full_text_format END AS full_text_format,
+               CASE WHEN hit THEN 'arxiv_pdf_plain' ELSE full_text_source_type END AS full_text_source_type, CASE WHEN hit THEN 'pdf_parsed' ELSE full_text_status END AS full_text_status
+        FROM h
+    """
 
 
 def oracle_sql() -> dict[str, str]:
@@ -171,29 +179,30 @@ def oracle_sql() -> dict[str, str]:
         """,
         "mix_supplement": _mix(True, True),
         "mix_validate_only": _mix(False, False),
-        "mix_downsample": _mix(True, False),
+        "mix_in_range": _mix(True, False),
+        "mix_fewer_science": _mix(True, False, alone=True, bounds=q.LOW_RANGE),
+        "mix_more_general": _mix(True, True, bounds=q.LOW_RANGE),
         "mix_without_fallback": _mix(False, False, alone=True),
         "normalize_schema": "SELECT CAST(doc_id AS VARCHAR) AS id, source, url, text, created, added, version FROM documents",
         "token_count": f"SELECT record_id, {_words('clean_text')} AS n_tokens FROM papers",
         "latex_residue": r"SELECT record_id, coalesce(len(regexp_extract_all(full_text, '\\[a-zA-Z]+')), 0) AS n_commands FROM papers",
-        "clean_pdf_text": f"""
-            SELECT record_id, {_pdf('t')} AS text
-            FROM (SELECT record_id, {_text(q.PDF_HEAD)} || replace(abstract, ' ', chr(10)) || {_text(q.PDF_TAIL)} AS t FROM papers WHERE abstract IS NOT NULL)
-        """,
-        "clean_pdf_papers": f"SELECT record_id, {_pdf('full_text')} AS text FROM papers WHERE full_text IS NOT NULL",
-        "latex_body": _tex_query(_sub(_sub("t", r"(?s)^.*?\\begin\{document\}", "", ""), r"(?s)\\end\{document\}.*", "", "")),
-        "latex_comments": _tex_query(_sub("t", r"(^|[^\\])%[^\n]*", r"\1")),
-        "latex_equations": _tex_query(_equations()),
-        "latex_symbols": _tex_query(_symbols()),
-        "latex_formats": _tex_query(_formats()),
-        "latex_references": _tex_query(_references()),
+        "clean_pdf_text": _over_texts(_pdf("full_text")),
+        "latex_body": _over_texts(tex.body("full_text")),
+        "latex_comments": _over_texts(tex.subs("full_text", *tex.COMMENTS)),
+        "latex_equations": _over_texts(tex.subs("full_text", *tex.EQUATIONS)),
+        "latex_symbols": _over_texts(tex.symbols("full_text")),
+        "latex_formats": _over_texts(tex.subs("full_text", *tex.FORMATTED)),
+        "latex_references": _over_texts(tex.subs("full_text", *tex.REFERENCES)),
+        "clean_latex": f"SELECT record_id, t AS text FROM ({tex.cleaned('SELECT record_id, full_text FROM papers WHERE full_text IS NOT NULL', 'full_text', 'record_id')})",
+        "clean_all_records": f"WITH {_cleaned('arxiv')} SELECT * FROM r",
         "clean_all_untouched": f"""
             SELECT record_id, abstract AS clean_text, {_words('abstract')} AS token_count_approx
             FROM papers WHERE source = 'arxiv' AND (coalesce(full_text_status = 'abstract_only', false) OR NOT {_HAS}) AND abstract <> ''
         """,
         "cleaned_count": f"SELECT count(*) AS n_cleaned FROM papers WHERE source = 'arxiv' AND {_HAS} AND full_text <> ''",
-        "detect_language": _language("text"),
+        "detect_language": _language("SELECT doc_id, text FROM documents", "doc_id", "text"),
         "tokenize_utf8_lengths": "SELECT doc_id, strlen(coalesce(text, '')) AS n_tokens FROM documents",
+        "tokenize_words": f"SELECT doc_id, {_words('text')} AS n_tokens FROM documents",
         "tokenize_truncate": f"SELECT doc_id, least(strlen(coalesce(text, '')), {q.LENGTH}) AS n_tokens FROM documents",
         "shuffled_positions": f"SELECT doc_id, row_number() OVER (ORDER BY {_key(q.SEED, 'doc_id')}) - 1 AS pos FROM documents",
         "pack_accounting": f"""
@@ -203,11 +212,11 @@ def oracle_sql() -> dict[str, str]:
         "pack_sequences": f"""
             WITH {_geometry()}, b AS (SELECT shard, batch, string_agg(hex(encode(coalesce(text, ''))) || 'zz', '' ORDER BY pos) AS s FROM placed GROUP BY ALL),
                  e AS (SELECT shard, batch, s, unnest(range(strlen(s) // {2 * q.LENGTH})) AS k FROM b)
-            SELECT shard, batch, CAST(k AS INTEGER) AS k, {q.LENGTH} AS n, md5(substr(s, k * {2 * q.LENGTH} + 1, {2 * q.LENGTH})) AS digest, {q.LENGTH} AS n_attended FROM e
+            SELECT shard, batch, CAST(k AS INTEGER) AS k, {q.LENGTH} AS n, md5(substr(s, k * {2 * q.LENGTH} + 1, {2 * q.LENGTH})) AS digest, {q.LENGTH} AS n_attended, digest AS labels FROM e
         """,
         "fixed_blocks": f"""
             WITH n AS (SELECT doc_id, strlen(coalesce(text, '')) AS n FROM documents)
-            SELECT doc_id, greatest(n // {q.BLOCK}, 1) AS n_blocks, greatest(n // {q.BLOCK}, 1) * {q.BLOCK} AS n_ids, greatest({q.BLOCK} - n, 0) AS n_padding FROM n
+            SELECT doc_id, greatest(n // {q.BLOCK}, 1) AS n_blocks, greatest(n // {q.BLOCK}, 1) * {q.BLOCK} AS n_ids, greatest({q.BLOCK} - n, 0) AS n_padding, greatest(n // {q.BLOCK}, 1) AS n_labelled FROM n
         """,
         "train_eval_split": f"""
             SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {_key(q.SEED, 'doc_id')}) <= {eval_rows} THEN 'eval' ELSE 'train' END AS split FROM documents
@@ -222,6 +231,12 @@ def oracle_sql() -> dict[str, str]:
                  e AS (SELECT doc_id, pos AS i FROM o UNION ALL SELECT o.doc_id, n + k FROM o, (SELECT unnest(range(7)) AS k) WHERE k < (7 - n % 7) % 7 AND pos = (n + k) % n)
             SELECT doc_id, CAST(i % 7 AS INTEGER) AS rank, i // 7 AS slot FROM e
         """,
+        "token_stats_whole": "SELECT 'exact' AS mode, count(*) AS n_rows, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_tokens FROM documents",
+        "micro_batches": f"""
+            WITH o AS (SELECT row_number() OVER (ORDER BY {_key(q.SEED, 'doc_id')}) - 1 AS pos, count(*) OVER () AS n FROM documents),
+                 e AS (SELECT pos AS i FROM o UNION ALL SELECT n + k FROM o, (SELECT unnest(range(7)) AS k) WHERE k < (7 - n % 7) % 7 AND pos = (n + k) % n)
+            SELECT CAST(i % 7 AS INTEGER) AS rank, i // 7 // 16 AS step, count(*) AS n FROM e GROUP BY ALL
+        """,
         "merge_parsed": f"""
             WITH {_LATEST}
             SELECT record_id, coalesce(r.text, full_text) AS full_text, CASE WHEN r.text IS NOT NULL THEN true ELSE has_full_text END AS has_full_text,
@@ -265,4 +280,54 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (coalesce(text, '') = '' AND error IS NULL) AS skipped FROM parse_results
         """,
         "corpus_sources": "SELECT DISTINCT source FROM (SELECT source FROM corpus ORDER BY id LIMIT 5000)",
+        "parse_backend_html": f"""
+            WITH t AS (SELECT record_id, {_page('full_text')} AS p FROM papers WHERE full_text IS NOT NULL)
+            SELECT record_id, CASE WHEN length(p) > 50 THEN p END AS text, CASE WHEN length(p) > 50 THEN NULL ELSE 'no text' END AS error FROM t
+        """,
+        "compare_backends": rf"""
+            WITH t AS (SELECT record_id, 'plain' AS backend, full_text AS t FROM papers WHERE full_text IS NOT NULL
+                       UNION ALL SELECT record_id, 'html', {_page('full_text')} FROM papers WHERE full_text IS NOT NULL),
+                 u AS (SELECT record_id, backend, CASE WHEN length(t) > 200 THEN t END AS t FROM t)
+            SELECT record_id, backend, {_words('t')} AS tokens, coalesce(len(regexp_extract_all(t, '\\[a-zA-Z]+')), 0) AS latex_residue FROM u
+        """,
+        "load_corpus": f"""
+            WITH m AS ({_mix(True, True, with_text=True)}), {_geometry("m", "shuffle_key")},
+                 b AS (SELECT CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) // {q.LENGTH} AS n FROM placed GROUP BY shard, batch),
+                 h AS (SELECT CAST(sum(n) AS BIGINT) AS n, CASE WHEN sum(n) > 100 THEN CAST(ceil(0.005::DOUBLE * sum(n)) AS BIGINT) ELSE 0 END AS held FROM b),
+                 e AS (SELECT 'train' AS split, n - held AS n_sequences FROM h UNION ALL SELECT 'eval', held FROM h)
+            SELECT split, n_sequences, n_sequences * {q.LENGTH} AS n_tokens FROM e WHERE n_sequences > 0
+        """,
+        "load_corpus_unpacked": f"""
+            WITH m AS ({_mix(True, True, with_text=True)})
+            SELECT 'train' AS split, count(*) AS n_sequences, CAST(sum(least(strlen(coalesce(text, '')), {q.LENGTH})) AS BIGINT) AS n_tokens FROM m
+        """,
+        "store_round_trip": "SELECT record_id, source, year, title, has_full_text, array_to_string(authors, '|') AS authors, length(full_text) AS n_chars FROM papers",
+        "store_replaced": """
+            WITH y AS (SELECT year FROM papers WHERE source = 'arxiv' GROUP BY year HAVING bool_or(is_duplicate) AND NOT bool_and(coalesce(is_duplicate, false)))
+            SELECT source, year, count(*) AS n, count(*) FILTER (is_duplicate) AS n_duplicates FROM papers
+            WHERE NOT (source = 'arxiv' AND coalesce(is_duplicate, false) AND year IN (SELECT year FROM y)) GROUP BY source, year
+        """,
+        "store_merged": f"""
+            WITH {_LATEST}
+            SELECT record_id, year, coalesce(r.text, full_text) AS full_text, CASE WHEN r.text IS NOT NULL THEN true ELSE has_full_text END AS has_full_text,
+                   CASE WHEN r.text IS NOT NULL THEN 'pdf_parsed' ELSE full_text_status END AS full_text_status
+            FROM papers p LEFT JOIN r ON p.arxiv_id = r.arxiv_id AND p.source = 'arxiv'
+        """,
+        "store_cleaned": f"WITH {_cleaned('arxiv')} SELECT * FROM r UNION ALL SELECT record_id, clean_text, token_count_approx, language FROM papers WHERE source <> 'arxiv'",
+        "parse_new_files": _parsed("true"),
+        "parse_to_replace": _parsed("p.full_text_source_type = 'arxiv_pdf_pymupdf' AND p.arxiv_id <> ''"),
+        "parse_library": f"""
+            WITH {_FILES},
+                 h AS (SELECT p.*, p.pdf_path IS NOT NULL AND (full_text_status = 'pdf_downloaded' OR full_text_source_type = 'arxiv_pdf_pymupdf') AND length(w.full_text) > 200 AS wanted, w.full_text AS t
+                       FROM papers p LEFT JOIN w ON regexp_extract(p.pdf_path, '([^/]*)$', 1) = w.name WHERE source = 'arxiv')
+            SELECT record_id, CASE WHEN wanted THEN t ELSE full_text END AS full_text, CASE WHEN wanted THEN t ELSE clean_text END AS clean_text,
+                   CASE WHEN wanted THEN 'arxiv_pdf_plain' ELSE full_text_source_type END AS full_text_source_type, CASE WHEN wanted THEN 'success' ELSE full_text_status END AS full_text_status,
+                   CAST(CASE WHEN wanted THEN {_words('t')} ELSE token_count_approx END AS INTEGER) AS token_count_approx FROM h
+        """,
+        "pdf_listing": f"WITH {_FILES} SELECT {_ID_OF_NAME} AS arxiv_id, strlen(full_text) AS length FROM w",
+        "whole_files": f"WITH {_FILES} SELECT {_ID_OF_NAME} AS arxiv_id, md5(full_text) AS digest FROM w",
+        "corpus_from_json": "SELECT id, source, url, text, created, added, version FROM corpus",
+        "corpus_from_parquet": "SELECT id, source, url, text, created, added, CASE WHEN source IS NULL THEN version END AS version FROM corpus",
+        "corpus_from_arrow": "SELECT id, source, url, text, created, added, version FROM corpus",
+        "papers_of_two_shapes": "SELECT record_id, CASE WHEN source = 'arxiv' THEN license END AS license, CASE WHEN source = 'arxiv' THEN doi END AS doi, year FROM papers",
     }

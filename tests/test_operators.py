@@ -88,6 +88,33 @@ def test_positions_are_a_permutation(spark):
     assert sorted(r["pos"] for r in order.with_position(ties, 1, ["id"]).collect()) == [0, 1, 2]
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "a", "b"])), max_size=25), st.integers(0, 30))
+def test_first_rows(spark, rows, n):
+    df = spark.createDataFrame(rows, "a int, b string").repartition(3)
+    first = [tuple(r) for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))[:n]]
+    out = [tuple(r) for r in order.first_rows(df, n, ["a", "b"]).collect()]
+    assert sorted(out, key=str) == sorted(first, key=str)
+    numbered = order.first_rows(df, n, ["a", "b"], "i").orderBy("i").collect()
+    assert [(r["a"], r["b"]) for r in numbered] == first and [r["i"] for r in numbered] == list(range(len(first)))
+
+
+def test_positions_with_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 2)
+    df = spark.range(500)
+    keys = sorted(range(500), key=lambda i: hashlib.sha256(f"42|{i}".encode()).hexdigest())
+    assert [r["id"] for r in order.with_position(df, 42, ["id"]).orderBy("pos").collect()] == keys
+    split = order.train_eval_split(df, 0.05, 42, ["id"])
+    assert {r["id"] for r in split.where("split = 'eval'").collect()} == set(keys[:25])
+    assert {r["id"] for r in order.sample_exact(df, 17, 42, ["id"]).collect()} == set(keys[:17])
+
+
+def test_micro_batches(spark):
+    rows = order.micro_batches(order.assign_rank(spark.range(10), 2, 1, ["id"]), 2).groupBy("rank", "step").count().collect()
+    assert sorted(tuple(r) for r in rows) == [(0, 0, 2), (0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 1, 2), (1, 2, 1)]
+    assert order.effective_batch(4, 2, 16) == 128
+
+
 def test_sample_and_split(spark):
     df = spark.range(200)
     assert order.sample_exact(df, 7, 1, ["id"]).count() == 7 and order.sample_exact(df, 900, 1, ["id"]).count() == 200
@@ -180,7 +207,7 @@ def test_exact_dedup(spark):
 
 def test_merge(spark):
     df = papers(spark, {"arxiv_id": "1"}, {"arxiv_id": "1"}, {"arxiv_id": "2", "full_text": "old"}, {"arxiv_id": None})
-    results = spark.createDataFrame([("1", "a", None), ("1", "b", None), ("2", "", None), ("2", None, "bad"), ("9", "x", None), (None, "y", None)], "arxiv_id string, text string, error string")
+    results = spark.createDataFrame([("1", "z", None, 1), ("1", "b", None, 2), ("2", "", None, 3), ("2", None, "bad", 4), ("9", "x", None, 5), (None, "y", None, 6)], "arxiv_id string, text string, error string, delivered int")
     out = records.merge_parsed(df, results).orderBy("record_id").collect()
     assert [r["full_text"] for r in out] == ["b", "b", "old", None] and [r["_matched"] for r in out] == [True, True, False, False]
     assert out[0]["full_text_status"] == "pdf_parsed" and len(out) == 4
@@ -190,6 +217,8 @@ def test_merge(spark):
     assert records.done_set(df.select("arxiv_id"), results.select("arxiv_id")).count() == 4
     with pytest.raises(ValueError):
         records.merge_parsed(df, results, "nothing")
+    with pytest.raises(KeyError):
+        records.merge_parsed(df, results.drop("delivered"))
 
 
 def test_targets(spark):
@@ -223,6 +252,16 @@ def test_parse(spark):
     assert parsing.parse(df.limit(0), "html").count() == 0
 
 
+def test_parse_files(spark, tmp_path):
+    (tmp_path / "a.pdf").write_text("word " * 60)
+    df = spark.createDataFrame([("1", str(tmp_path / "a.pdf")), ("2", f"file://{tmp_path}/a.pdf"), ("3", str(tmp_path / "none.pdf")), ("4", None)], "id string, path string")
+    rows = {r["id"]: r for r in parsing.parse(df, "plain", path="path").collect()}
+    assert rows["1"]["text"] == rows["2"]["text"] and rows["1"]["path"] and "FileNotFoundError" in rows["3"]["error"] and rows["4"]["error"]
+    parsing.register("pages", lambda content: "con-\ntinued\n12\n" + "word " * 60)
+    parsing.RAW.add("pages")
+    assert parsing.parse(df, "pages", path="path", profile="library").first()["text"].startswith("continued\n\nword")
+
+
 def test_parse_stats(spark):
     df = spark.createDataFrame([("t", None), (None, "e"), ("", None)], "text string, error string")
     assert tuple(parsing.parse_stats(df).first()) == (3, 1, 1, 1)

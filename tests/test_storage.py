@@ -4,8 +4,10 @@ import pyarrow as pa
 import pytest
 
 from lexloom import infra
+from lexloom.plans import pipelines
 from lexloom.schema import records_to_table
-from lexloom.sources import readers, writers
+from lexloom.sources import readers, storage, writers
+from lexloom.sources.storage import Files
 from lexloom.streaming import ingest
 
 
@@ -34,6 +36,67 @@ def test_replace_reads_what_it_replaces(spark, tmp_path):
     assert not list(tmp_path.glob("_staging_*"))
 
 
+def damage(root):
+    """Two years of five files each, one of which is damaged; gives the bytes of all files."""
+    bad = sorted((root / "arxiv" / "year=2020").glob("*.parquet"))[0]
+    bad.write_bytes(b"PAR1 damaged" + bad.read_bytes()[12:-8])
+    return {p: p.read_bytes() for p in (root / "arxiv").rglob("*.parquet")}
+
+
+def test_merge_leaves_a_damaged_store_as_it_is(spark, tmp_path):
+    root = str(tmp_path)
+    for i in range(4):
+        writers.append_papers(table(spark, *[2020] * 5, *[2021] * 5, prefix=f"r{i}-"), root, "arxiv")
+    before = damage(tmp_path)
+    results = spark.createDataFrame([("0", "a text", None, 1)], f"{ingest.RESULTS}, delivered int")
+    with pytest.raises(Exception):
+        ingest.merge_into_store(results, root, "arxiv")
+    assert before == {p: p.read_bytes() for p in (tmp_path / "arxiv").rglob("*.parquet")}
+    with pytest.raises(Exception):
+        pipelines.clean_store(spark, root)
+    assert before == {p: p.read_bytes() for p in (tmp_path / "arxiv").rglob("*.parquet")}
+
+
+def test_what_was_written_is_kept_when_it_can_not_be_put_in_place(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    writers.append_papers(table(spark, 2020, 2021), root, "arxiv")
+    move, calls = Files.move, []
+
+    def failing(self, path, to):
+        calls.append(path)
+        if len(calls) == 4:  # the second year's new folder
+            raise OSError("no room")
+        move(self, path, to)
+
+    monkeypatch.setattr(Files, "move", failing)
+    with pytest.raises(OSError):
+        writers.replace_papers(table(spark, 2020, 2021, prefix="s"), root, "arxiv")
+    assert {r["record_id"] for r in readers.read_papers(spark, root, "arxiv").collect()} == {"s0", "r1"}
+    assert list(tmp_path.glob("_staging_*/year=2021/*.parquet")) and list(tmp_path.glob("_replaced_*/year=2020/*.parquet"))
+
+
+def test_files_outside_of_year_folders(spark, tmp_path):
+    table(spark, 2020).write.parquet(str(tmp_path / "arxiv"))
+    with pytest.raises(ValueError):
+        readers.folders_of(spark, str(tmp_path), "arxiv")
+    assert readers.folders_of(spark, str(tmp_path), "none") == [] and readers.read_folders(spark, str(tmp_path), "none", []).count() == 0
+
+
+def test_only_touched_years_are_written(spark, tmp_path):
+    root = str(tmp_path)
+    writers.append_papers(table(spark, 2020, 2021, None), root, "arxiv")
+    old = {p.name for p in (tmp_path / "arxiv").rglob("*.parquet")}
+    results = spark.createDataFrame([("1", "first", None, 2), ("1", "last", None, 3), ("1", "zero", None, 1), ("2", "x", None, 1)], f"{ingest.RESULTS}, delivered int")
+    assert ingest.merge_into_store(results, root, "arxiv") == ["year=2021", "year=__HIVE_DEFAULT_PARTITION__"]
+    assert len(old & {p.name for p in (tmp_path / "arxiv").rglob("*.parquet")}) == 1
+    assert {r["record_id"]: (r["full_text"], r["year"]) for r in readers.read_papers(spark, root, "arxiv").collect()} == {"r0": (None, 2020), "r1": ("last", 2021), "r2": ("x", None)}
+    assert ingest.merge_into_store(results.limit(0), root, "arxiv") == []
+
+
+def test_shared_folder(spark, tmp_path):
+    assert storage.fresh_folder(spark, "x") != storage.fresh_folder(spark, "x") and storage.cut(spark.range(3)).count() == 3
+
+
 def test_read_corpus(spark, tmp_path):
     with pytest.raises(ValueError):
         readers.read_corpus(spark, str(tmp_path))
@@ -90,7 +153,7 @@ def test_infra(tmp_path):
             raise OSError
         return "done"
 
-    assert flaky() == "done" and waits == [2.0, 4.0]
+    assert flaky() == "done" and waits == [1.0, 2.0]
     slept = []
     limiter = infra.RateLimiter(5, lambda: 0.0, slept.append)
     limiter.wait(), limiter.wait(), limiter.wait()

@@ -54,11 +54,9 @@ def test_detect_language(spark):
         assert one(spark, value, text.detect_language) == lang
 
 
-def test_paths_and_pages(spark):
+def test_paths(spark):
     assert one(spark, "data/pdf/cond-mat_1012.pdf", text.id_of_path) == "cond-mat/1012"
     assert one(spark, "cond-mat/1012", lambda c: text.path_of_id(c, "data/pdf/")) == "data/pdf/cond-mat_1012.pdf"
-    pages = spark.createDataFrame([(["a", " \n", "b"],)], "p array<string>").select(text.join_pages(F.col("p"))).first()[0]
-    assert pages == "a\nb"
     assert text.scrub_surrogates("a\ud800b") == "a�b"
     assert one(spark, r"\alpha x \b1", text.latex_residue) == 2 and one(spark, None, text.latex_residue) == 0
 

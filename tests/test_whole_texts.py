@@ -20,7 +20,7 @@ STEPS = {
 def test_step_over_whole_texts(spark, step):
     rules = [(p, to) for p, to in cleaning._RULES if any(x in p.pattern for x in STEPS[step])]
     texts = {r["record_id"]: r["full_text"] for r in registry.read(spark, DATA, "papers").where("full_text is not null").collect()}
-    got = {r["record_id"]: r["text"] for r in registry.queries()[f"latex_{step}_papers"](spark, DATA).collect()}
+    got = {r["record_id"]: r["text"] for r in registry.queries()[f"latex_{step}"](spark, DATA).collect()}
     assert rules and got.keys() == texts.keys()
     for key, text in texts.items():
         for pattern, to in rules:
