@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.sources.storage import cut
+
+__all__ = ["TOKENIZERS", "cut", "digest", "read"]
+
 #: Where the vocabulary files of the public tokenizers lie; a parameter of every operator that needs one.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -16,17 +17,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the shared checkpoint folder, so that what follows survives lost executors.
-
-    The folder is the session's spark.checkpoint.dir; a local one is set only where none is named.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "lexloom-checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def digest(text: Column) -> Column:
     """256-bit digest of a string as 32 bytes."""
     return F.unhex(F.sha2(F.encode(text, "utf-8"), 256))

@@ -10,8 +10,8 @@ Two forms are computed for every distinct text:
   compatibility mapping changes what one sees (raised and lowered digits,
   fractions, circled and squared signs) left alone.  It is the exact check.
 
-Both run in Arrow batches over the distinct values of a batch; pure ASCII text,
-for which only white space and case matter, stays on the JVM.
+The form is computed once per distinct text of the table, in Arrow batches; the
+look only of texts that share their form with another one.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import functools
 import hashlib
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,6 +40,13 @@ GREEK_TO_LATIN = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
     "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ϲ": "c", "ϳ": "j", "ν": "v", "ό": "ó",
 }
+ARMENIAN_TO_LATIN = {"Լ": "L", "Ս": "U", "Տ": "S", "Օ": "O", "հ": "h", "ո": "n", "ս": "u", "օ": "o"}
+CHEROKEE_TO_LATIN = {
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G",
+    "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏻ": "G", "Ᏼ": "B",
+}
+#: Each of these scripts with its letters that have a Latin twin, as (table, first letter, last letter).
+SCRIPTS = ((CYRILLIC_TO_LATIN, "Ѐ", "ԯ"), (GREEK_TO_LATIN, "Ͱ", "Ͽ"), (ARMENIAN_TO_LATIN, "Ա", "և"), (CHEROKEE_TO_LATIN, "Ꭰ", "Ᏽ"))
 # Ranges with the Unicode property Default_Ignorable_Code_Point.
 DEFAULT_IGNORABLE = (
     (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F),
@@ -50,8 +58,11 @@ HYPHENS = "‐‑﹣－"
 #: Decomposition types whose mapping keeps the look.
 SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<compat>")
 
-_FOREIGN = re.compile(r"[Ͱ-ԯ]+")
+_FOREIGN = re.compile("[" + "".join(f"{low}-{high}" for _, low, high in SCRIPTS) + "]+")
 _SPECIAL = re.compile(r"[^\x20-\x7e\n]")
+_PLAIN = frozenset(map(chr, range(0x20, 0x7F))) | {"\n"}
+#: Up to so many different characters of a text are replaced one by one, which is faster than looking up each of its characters.
+FEW = 24
 
 
 def _ignorable(code: int) -> bool:
@@ -60,7 +71,7 @@ def _ignorable(code: int) -> bool:
 
 @functools.lru_cache(maxsize=1 << 16)
 def _char(ch: str, visible: bool) -> str:
-    """What a single character becomes before composition."""
+    """What a single character becomes before composition; what it becomes stays as it is."""
     code = ord(ch)
     if _ignorable(code):
         return ""
@@ -72,22 +83,32 @@ def _char(ch: str, visible: bool) -> str:
         return " "
     kind = unicodedata.decomposition(ch).split(" ", 1)[0]
     if kind.startswith("<") and (not visible or kind in SAME_LOOK):
-        return unicodedata.normalize("NFKD", ch) if len(kind) > 1 else ch
+        return "".join(c if c == ch or c in _PLAIN else _char(c, visible) for c in unicodedata.normalize("NFKD", ch))
     return ch
 
 
+def _mapped(text: str, visible: bool) -> str:
+    """The text with each character replaced by what it becomes."""
+    changed = {c: to for c in set(text) - _PLAIN if (to := _char(c, visible)) != c}
+    if len(changed) > FEW:
+        return text.translate({ord(c): to for c, to in changed.items()})
+    for c, to in changed.items():
+        text = text.replace(c, to)
+    return text
+
+
 @functools.lru_cache(maxsize=1 << 16)
 def _word(word: str) -> str:
     """A word in one script: the script of its letters that have no Latin twin, else Latin."""
-    for table, low, high in ((CYRILLIC_TO_LATIN, "Ѐ", "ԯ"), (GREEK_TO_LATIN, "Ͱ", "Ͽ")):
-        if any(low <= c <= high and c not in table for c in word):
-            back = _inverse(table is CYRILLIC_TO_LATIN)
+    for k, (table, low, high) in enumerate(SCRIPTS):
+        if any(low <= c <= high and c not in table and c.isalpha() for c in word):
+            back = _inverse(k)
             return "".join(back.get(c, c) for c in word)
-    return "".join(CYRILLIC_TO_LATIN.get(c) or GREEK_TO_LATIN.get(c) or c for c in word)
+    return "".join(next((table[c] for table, _, _ in SCRIPTS if c in table), c) for c in word)
 
 
 def _one_script(text: str) -> str:
-    """Every word that holds a Greek or Cyrillic letter, written in one script."""
+    """Every word that holds a letter of another script than Latin which may have a twin there, written in one script."""
     out, done = [], 0
     for match in _FOREIGN.finditer(text):
         start, end = match.span()
@@ -110,28 +131,25 @@ def _tidy(text: str) -> str:
     return text.strip()
 
 
-@functools.lru_cache(maxsize=2)
-def _inverse(cyrillic: bool) -> dict[str, str]:
-    own, other = (CYRILLIC_TO_LATIN, GREEK_TO_LATIN) if cyrillic else (GREEK_TO_LATIN, CYRILLIC_TO_LATIN)
-    to = {v: k for k, v in reversed(own.items())}
-    return to | {k: to[v] for k, v in other.items() if v in to}
+@functools.lru_cache(maxsize=len(SCRIPTS))
+def _inverse(k: int) -> dict[str, str]:
+    """Letters of Latin and the other scripts that have a twin in script k."""
+    to = {latin: own for own, latin in reversed(SCRIPTS[k][0].items())}
+    return to | {c: to[latin] for j, (table, _, _) in enumerate(SCRIPTS) if j != k for c, latin in table.items() if latin in to}
 
 
 def look_of(text: str) -> str:
     """The text with every character replaced by the one that stands for all of its look."""
-    if not _SPECIAL.search(text):
+    if text.isascii() and not _SPECIAL.search(text):
         return _tidy(text)
-    text = text.replace("\r\n", "\n")
-    text = unicodedata.normalize("NFC", text.translate({ord(c): _char(c, True) for c in set(_SPECIAL.findall(text))}))
-    return _tidy(_one_script(text))
+    return _tidy(_one_script(unicodedata.normalize("NFC", _mapped(text.replace("\r\n", "\n"), True))))
 
 
 def form_of(text: str) -> str:
     """The consistent form: equal for all texts that look alike, also across letter case and raised digits."""
-    if not _SPECIAL.search(text):
+    if text.isascii() and not _SPECIAL.search(text):
         return _tidy(text.lower())
-    text = text.replace("\r\n", "\n")
-    text = unicodedata.normalize("NFKC", text.translate({ord(c): _char(c, False) for c in set(_SPECIAL.findall(text))}))
+    text = unicodedata.normalize("NFKC", _mapped(text.replace("\r\n", "\n"), False))
     return _tidy(unicodedata.normalize("NFKC", _one_script(text).casefold()))
 
 
@@ -147,13 +165,14 @@ def consistent_form(values: pd.Series) -> pd.Series:
     return _per_value(values, form_of)
 
 
-@F.pandas_udf(T.StructType([T.StructField("form", T.BinaryType()), T.StructField("look", T.BinaryType())]))
-def _digests(values: pd.Series) -> pd.DataFrame:
-    def of(text: str) -> tuple[bytes, bytes]:
-        return tuple(hashlib.blake2b(f(text).encode("utf-8", "replace"), digest_size=16).digest() for f in (form_of, look_of))
+def _digests(of: Callable[[str], str]):
+    """Pandas UDF text -> 16 bytes for what of() makes of it."""
 
-    pairs = _per_value(values, of)
-    return pd.DataFrame({"form": [p and p[0] for p in pairs], "look": [p and p[1] for p in pairs]}, index=values.index)
+    @F.pandas_udf(T.BinaryType())
+    def digested(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else hashlib.blake2b(of(v).encode("utf-8", "replace"), digest_size=16).digest() for v in values], index=values.index, dtype=object)
+
+    return digested
 
 
 def with_consistent_form(df: DataFrame, text: str = "text", out: str = "form") -> DataFrame:
@@ -165,34 +184,60 @@ def with_consistent_form(df: DataFrame, text: str = "text", out: str = "form") -
     return df.withColumn(out, consistent_form(F.col(text)))
 
 
+def _texts(df: DataFrame, text: str) -> DataFrame:
+    """(_same, _text): each distinct text with its digest."""
+    return df.where(F.col(text).isNotNull()).select(digest(F.col(text)).alias("_same"), F.col(text).alias("_text")).groupBy("_same").agg(F.first("_text").alias("_text"))
+
+
+def _several(rows: DataFrame, key: str) -> DataFrame:
+    """(key): the keys that more than one text has."""
+    return rows.groupBy(key).agg(F.min("_same").alias("_least"), F.max("_same").alias("_most")).where(F.col("_least") != F.col("_most")).select(key)
+
+
+def look_alike_texts(df: DataFrame, text: str = "text") -> DataFrame:
+    """(_same, _look): the digests of the texts that look like another one, and of their look.
+
+    Texts are grouped by the digest of their consistent form; the look, as the
+    exact check, is computed only of those whose form another text has too.
+    """
+    forms = cut(_texts(df, text).select("_same", _digests(form_of)("_text").alias("_form")))
+    candidates = cut(forms.join(_several(forms, "_form"), "_form", "left_semi").select("_same"))
+    again = df.where(F.col(text).isNotNull()).select(F.col(text).alias("_text")).withColumn("_same", digest(F.col("_text"))).join(candidates, "_same", "left_semi")
+    looks = cut(_texts(again, "_text").select("_same", _digests(look_of)("_text").alias("_look")))
+    return looks.join(_several(looks, "_look"), "_look", "left_semi").select("_same", "_look")
+
+
+def _members(df: DataFrame, looks: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(_id, _same, _look): the rows that look like one with another text; rows that repeat an id and a text count once."""
+    rows = df.where(F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), digest(F.col(text)).alias("_same"))
+    return rows.join(looks, "_same").distinct()
+
+
+def look_alike_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(<id>, class, n_links): each row that looks like one with another text, with the smallest id of its look and the number of such rows.
+
+    The number of pairs in a class may grow as its square; this stays linear.
+    Cases as in look_alike_pairs.
+    """
+    members = cut(_members(df, look_alike_texts(df, text), id_col, text))
+    looks = members.groupBy("_look").agg(F.min("_id").alias("class"), F.count(F.lit(1)).alias("_all"))
+    same = members.groupBy("_same").agg(F.count(F.lit(1)).alias("_own"))
+    joined = members.join(looks, "_look").join(same, "_same")
+    return joined.select(F.col("_id").alias(id_col), "class", (F.col("_all") - F.col("_own")).alias("n_links"))
+
+
 def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Pairs (<id>_a < <id>_b) of rows whose texts differ as strings and look the same.
 
-    Rows are grouped by the digest of the consistent form, then checked by the
-    digest of the look.  Pairs are formed between the distinct texts of a look
-    and only then spread over the rows that hold them, so rows with the very
-    same text never meet each other, however many they are.  Null texts are in
-    no pair; of rows that repeat an id and a text one counts; other columns are
-    ignored.
+    Pairs are formed between the distinct texts of a look and only then spread
+    over the rows that hold them, so rows with the very same text never meet each
+    other, however many they are.  Null texts and null ids are in no pair; of
+    rows that repeat an id and a text one counts; other columns are ignored.
     """
-    d = F.col("_d")
-    rows = cut(
-        df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-        .where(F.col("_text").isNotNull() & F.col("_id").isNotNull())
-        .select("_id", digest(F.col("_text")).alias("_same"), _digests("_text").alias("_d"))
-        .select("_id", "_same", d["form"].alias("_form"), d["look"].alias("_look"))
-    )
-    many = (
-        rows.groupBy("_form", "_look")
-        .agg(F.min("_same").alias("_least"), F.max("_same").alias("_most"))
-        .where(F.col("_least") != F.col("_most"))
-        .select("_form", "_look")
-    )
-    members = rows.join(many, ["_form", "_look"]).dropDuplicates(["_id", "_same"])
-    texts = members.select("_form", "_look", "_same").distinct()
-    pairs = texts.alias("x").join(
-        texts.select("_form", "_look", F.col("_same").alias("_other")).alias("y"), ["_form", "_look"]
-    ).where(F.col("_same") < F.col("_other"))
+    texts = cut(look_alike_texts(df, text))
+    members = cut(_members(df, texts, id_col, text))
+    others = texts.select("_look", F.col("_same").alias("_other"))
+    pairs = texts.join(others, "_look").where(F.col("_same") < F.col("_other"))
     left = members.select(F.col("_id").alias("_x"), "_same")
     right = members.select(F.col("_id").alias("_y"), F.col("_same").alias("_other"))
     return (

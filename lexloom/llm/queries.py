@@ -86,10 +86,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.look_alike_pairs(read(spark, d, "documents"))
 
 
+def p8_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.look_alike_classes(read(spark, d, "documents"))
+
+
 def p8_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.with_consistent_form(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", "form")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p7_mix, p7_shares, p7_filled, p7_filled_shares, p8_found, p8_forms)
+    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p7_mix, p7_shares, p7_filled, p7_filled_shares, p8_found, p8_classes, p8_forms)
     return {q.__name__: q for q in every}

@@ -92,6 +92,7 @@ def test_copies_by_brute_force(spark, fields):
 LOOKS = {
     "full width": ("ABC 12", "ＡＢＣ　１２"), "accents": ("café Å", "cafe\u0301 A\u030a"), "ignorable": ("water", "wa\u200bt\u00ader\ufeff"), "spaces": ("a b", "a\u00a0b"), "width of a space": ("a b", "a\u3000b"),
     "latin": ("peace", "реасе"), "mixed word": ("сплав", "сплaв"), "greek": ("NaCl OH", "ΝaCl ΟΗ"), "ligature": ("find", "ﬁnd"), "kelvin": ("5 K Ω", "5 \u212a \u2126"), "half width": ("カタ", "ｶﾀ"), "jamo": ("한", "\u1112\u1161\u11ab"),
+    "armenian": ("honour Lot", "հօոօսr Լօt"), "cherokee": ("DRAW WELL", "\u13a0\u13a1\u13aa\u13b3 \u13b3\u13ac\u13de\u13de"),
     "hyphen": ("a-b", "a‑b"), "jo": ("плёнка", "плe\u0308нка"),
 }
 UNLIKE = {"case": ("Abc", "abc"), "accent": ("cafe", "café"), "raised": ("cm2", "cm²"), "dash": ("a-b", "a–b"), "word": ("a b", "a b c"), "alpha": ("α form", "a form")}
@@ -110,6 +111,7 @@ def test_looks_different(name):
 
 
 def test_words_that_belong_there():
+    assert lookalikes.look_of("Հայաստան է") == "Հայաստան է" and lookalikes.look_of("Հայաuտան") == "Հայաստան"
     assert lookalikes.form_of("the name «сплав» of it") == "the name «сплав» of it"
 
 
@@ -120,6 +122,18 @@ def test_forms_are_stable(value):
     assert lookalikes.form_of(lookalikes.form_of(value)) == lookalikes.form_of(value)
 
 
+def test_characters_are_replaced_alike_one_by_one_and_together():
+    for text in ("".join(map(chr, range(0x2000, 0x2100))), "ﬁ ﾊﾟ №\u3164", "".join(map(chr, range(0xFF00, 0xFFEF)))):
+        for visible in (True, False):
+            assert lookalikes._mapped(text, visible) == "".join(lookalikes._char(c, visible) for c in text)
+
+
+def test_classes_stay_linear(spark):
+    df = spark.createDataFrame([(i, "a" * (i % 20) + "\u200b" * (1 + i // 20) + "a" * (20 - i % 20)) for i in range(400)], "doc_id long, text string")
+    rows = lookalikes.look_alike_classes(df).collect()
+    assert len(rows) == 400 and {r["class"] for r in rows} == {0} and {r["n_links"] for r in rows} == {399}
+
+
 def test_pairs_by_brute_force(spark):
     texts = [x for pair in [*LOOKS.values(), *UNLIKE.values()] for x in pair] + ["peace", "peace", "", None, "\u200b", "long " * 50000, "lоng " * 50000]
     rows = [(i, t, 0) for i, t in enumerate(texts)] + [(3, texts[3], 1)]
@@ -128,5 +142,10 @@ def test_pairs_by_brute_force(spark):
     out = [tuple(r) for r in lookalikes.look_alike_pairs(df).collect()]
     assert set(out) == expected and max(Counter(out).values()) == 1
     assert lookalikes.look_alike_pairs(df.limit(0)).count() == 0
+    links = Counter(x for pair in expected for x in pair)
+    classes = lookalikes.look_alike_classes(df).collect()
+    assert {(r["doc_id"], r["n_links"]) for r in classes} == set(links.items())
+    assert all(r["class"] == min(i for i in links if lookalikes.look_of(texts[i]) == lookalikes.look_of(texts[r["doc_id"]])) for r in classes)
+    assert lookalikes.look_alike_classes(df.limit(0)).count() == 0
     formed = lookalikes.with_consistent_form(df)
     assert formed.count() == len(rows) and formed.where("text is null").first()["form"] is None
