@@ -6,7 +6,7 @@ squares against the histogram gives how often to use each, the counts are
 rounded down to what is there, and what remains is packed greedily by bins.
 All of that works on the histogram, whose size depends on the capacity alone.
 The items are then numbered within their bins, in blocks, so that no bin is one
-task, and meet the slots of the plan by bin and number.
+task, and find their slot of the plan by a binary search.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexloom.llm.common import TOKENIZERS, cut
 from lexloom.llm.token_budget import count_tokens
@@ -145,15 +146,19 @@ def pack_items(items: DataFrame, spec: DataFrame, id_col: str = "doc_id", units:
     ).select("*", F.least(F.ceil(F.col("n_tokens") / F.col("k.unit")), F.col("k.units")).cast("int").alias("_bin")).drop("k")
     # A piece of the full capacity takes all units even where the capacity is no multiple of the unit.
     counts = each.groupBy("spec_name", "_bin").count().collect()
-    rows, total = [], sum(r["count"] for r in counts)
-    for name, cap in kinds:
+    total, starts, edges, bases, at = sum(r["count"] for r in counts), [], [], [], 0
+    for k, (name, cap) in enumerate(kinds):
         top = cap // unit[name]
         histogram = np.zeros(top + 1, dtype=np.int64)
         for r in counts:
             if r["spec_name"] == name:
                 histogram[r["_bin"]] = r["count"]
-        rows += [(name, *s) for s in slots(plan(histogram, top))]
-    table = spark.createDataFrame(rows or [("", 0, 0, 0, 0)], "spec_name string, _bin int, _first long, _after long, _base long")
+        # All items of all kinds in one line, bin after bin; those without tokens have no slot.
+        starts.append(at + np.cumsum(histogram) - histogram)
+        rows = sorted((starts[k][b] + first, base) for b, first, _, base in slots(plan(histogram, top)))
+        edges += [at, *(e for e, _ in rows)]
+        bases += [0, *(b for _, b in rows)]
+        at += int(histogram.sum())
     blocks = max(1, min(1 << 16, ceil(total / BLOCK_ROWS)) * 4)
     key = F.xxhash64(F.col(id_col), "piece_no")
     each = each.withColumn("_key", key).withColumn("_block", F.pmod(F.col("_key"), F.lit(blocks)))
@@ -162,9 +167,25 @@ def pack_items(items: DataFrame, spec: DataFrame, id_col: str = "doc_id", units:
     offsets = sizes.select("spec_name", "_bin", "_block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     within = W.partitionBy("spec_name", "_bin", "_block").orderBy("_key", id_col, "piece_no")
     numbered = each.withColumn("_n", F.row_number().over(within) - 1).join(offsets, ["spec_name", "_bin", "_block"]).withColumn("_n", F.col("_n") + F.col("_offset"))
-    at = (numbered["spec_name"] == table["spec_name"]) & (numbered["_bin"] == table["_bin"]) & (F.col("_n") >= F.col("_first")) & (F.col("_n") < F.col("_after"))
-    placed = numbered.join(F.broadcast(table), at, "left")
-    return placed.select(numbered["spec_name"], (F.col("_base") + F.col("_n") - F.col("_first")).alias("container"), id_col, "piece_no", "start", "n_tokens").select(*columns)
+    kind = F.array_position(F.array(*[F.lit(name) for name, _ in kinds]), F.col("spec_name")) - 1
+    placed = numbered.withColumn("container", _container_of(starts, np.array(edges), np.array(bases))(kind, "_bin", "_n"))
+    return placed.select(*columns)
+
+
+def _container_of(starts: list[np.ndarray], edges: np.ndarray, bases: np.ndarray):
+    """Pandas UDF (kind, bin, number within the bin) -> container, null for items without tokens."""
+
+    @F.pandas_udf(T.LongType())
+    def of(kind: pd.Series, bin_: pd.Series, number: pd.Series) -> pd.Series:
+        first = np.zeros(len(kind), dtype=np.int64)
+        for k, start in enumerate(starts):
+            here = (kind == k).to_numpy()
+            first[here] = start[bin_.to_numpy()[here]]
+        place = first + number.to_numpy()
+        slot = np.searchsorted(edges, place, side="right") - 1
+        return pd.Series(bases[slot] + place - edges[slot], dtype="Int64", index=kind.index).mask(bin_ == 0)
+
+    return of
 
 
 def pack_texts(df: DataFrame, spec: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
@@ -173,6 +194,27 @@ def pack_texts(df: DataFrame, spec: DataFrame, id_col: str = "doc_id", text: str
     return pack_items(items, spec, id_col)
 
 
+def kept_report(items: DataFrame, packed: DataFrame, spec: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(spec_name, n_items, n_lost, n_over, n_divided_wrongly): what has to hold for every packing of items (<id>, n_tokens) with unique ids.
+
+    n_items are the items with a length, n_lost those whose pieces don't add up
+    to it, n_over the containers above their capacity, n_divided_wrongly the
+    items of more pieces than their length in capacities asks for.
+    """
+    kinds = F.broadcast(spec.where(F.col("capacity") >= 1).select("spec_name", F.col("capacity").cast("long").alias("_cap")))
+    pieces = packed.groupBy("spec_name", id_col).agg(F.sum("n_tokens").alias("_sum"), F.count(F.lit(1)).alias("_pieces"))
+    boxes = packed.where(F.col("container").isNotNull()).groupBy("spec_name", "container").agg(F.sum("n_tokens").alias("_n")).join(kinds, "spec_name")
+    over = boxes.groupBy("spec_name").agg(F.count_if(F.col("_n") > F.col("_cap")).alias("n_over"))
+    names = [r["spec_name"] for r in spec.where(F.col("capacity") >= 1).select("spec_name").collect()]
+    wanted = items.where(F.col("n_tokens").isNotNull()).select(id_col, "n_tokens", F.explode(F.array(*[F.lit(n) for n in names])).alias("spec_name"))
+    joined = wanted.join(pieces, ["spec_name", id_col], "left").join(kinds, "spec_name")
+    most = F.greatest(F.ceil(F.col("n_tokens") / F.col("_cap")), F.lit(1))
+    per = joined.groupBy("spec_name").agg(
+        F.count(F.lit(1)).alias("n_items"), F.count_if(~F.col("_sum").eqNullSafe(F.col("n_tokens"))).alias("n_lost"), F.count_if(F.col("_pieces") > most).alias("n_divided_wrongly")
+    )
+    return per.join(over, "spec_name", "left").select("spec_name", "n_items", "n_lost", F.coalesce("n_over", F.lit(0)).alias("n_over"), "n_divided_wrongly")
+
+
 def fill_report(packed: DataFrame, spec: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(spec_name, capacity, n_containers, n_items, n_divided, n_tokens, fill, n_over): how well each kind is filled."""
     pieces = packed.groupBy("spec_name").agg(

@@ -27,10 +27,10 @@ def letters_and_digits(text: Column) -> Column:
 def with_fingerprint(df: DataFrame, fields: Sequence[str], any_order: bool = True) -> DataFrame:
     """df with `_v` (array of normalised field values) and `_h1`, `_h2`, a commutative hash of the fields.
 
-    Each (field name, value) pair is hashed and the hashes are added with
-    wrap-around, a multiset hash that doesn't depend on the order of the fields.
-    With any_order the name is left out of the pair, so that it doesn't matter
-    either which field holds which value.
+    Each (field name, value) pair is hashed and the hashes are added as decimals
+    that hold any sum, a multiset hash that doesn't depend on the order of the
+    fields.  With any_order the name is left out of the pair, so that it doesn't
+    matter either which field holds which value.
     """
     values = F.array(*[letters_and_digits(F.col(f)) for f in fields])
     out = df.withColumn("_v", values)
@@ -63,12 +63,14 @@ def copy_sets(df: DataFrame, id_col: str = "record_id", fields: Sequence[str] =
     2. Records whose fingerprint recurs meet the first record of their
        fingerprint, and their fields are compared with its fields.  A set of a
        third of all rows is a skewed join key that adaptive execution splits.
-    3. Records that differ from the first one in spite of an equal fingerprint
-       are grouped again by their values themselves; no case is dropped.
+    3. Records that differ from the first one in spite of an equal fingerprint,
+       which takes a collision of 128 bits, are grouped again by their values
+       themselves, in sorted order; no case is dropped.
 
     Null fields equal empty ones; records whose fields hold no letter or digit
-    are copies of each other.  Rows that repeat an id count once; rows with a
-    null id are left out; other columns are ignored.
+    are copies of each other.  Rows that repeat an id count once; if they hold
+    different values and are the first of a set, the least values are compared.
+    Rows with a null id are left out; other columns are ignored.
     """
     n = len(fields)
     rows = with_fingerprint(
@@ -82,7 +84,7 @@ def copy_sets(df: DataFrame, id_col: str = "record_id", fields: Sequence[str] =
         .drop("_last")
     )
     members = cut(rows.join(sets, ["_h1", "_h2"]).select("_id", "_v", "_first"))
-    firsts = members.where(F.col("_id") == F.col("_first")).groupBy("_first").agg(F.first("_v").alias("_of_first"))
+    firsts = members.where(F.col("_id") == F.col("_first")).groupBy("_first").agg(F.min("_v").alias("_of_first"))
     compared = members.join(firsts, "_first").withColumn("_same", _same_values(F.col("_v"), F.col("_of_first"), n, any_order))
     alike = compared.where("_same").select("_id", "_first")
     key = F.array_sort("_v") if any_order else F.col("_v")

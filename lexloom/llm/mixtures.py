@@ -1,6 +1,6 @@
 """Records of several sources combined so that each has its target share of the tokens.
 
-The quota of each source is exact up to one short document.  A multivariate
+The quota of each source is exact up to less than its shortest document that is left.  A multivariate
 hypergeometric splitting tree deals blocks of the sources to output shards: the
 blocks of a range of shards are split between its halves by a seeded draw that
 depends on the range alone, so each shard finds its own quotas by walking down
@@ -25,8 +25,6 @@ from lexloom.llm.token_budget import count_tokens
 SEED = 20_240_229
 #: Tokens of a block and of an output shard.
 BLOCK_TOKENS, SHARD_TOKENS = 16_384, 1_000_000
-#: So many documents after the last that fits a quota are looked at to use up its rest.
-WINDOW = 1_000
 #: Rows that one task puts in order.
 BUCKET_ROWS = 50_000
 
@@ -78,20 +76,33 @@ def shard_quotas(shard: int, shards: int, blocks: np.ndarray, seed: int) -> tupl
     return offset, counts
 
 
+def hypergeometric(draw: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n things drawn from good and bad ones are good, for populations of any size.
+
+    The probabilities around the mode follow from it by the ratios of neighbours,
+    without factorials; beyond twelve standard deviations they are less than what
+    a double can tell from the rest.
+    """
+    low, high, whole = max(0, n - bad), min(n, good), good + bad
+    if low == high:
+        return low
+    mode = min(high, max(low, (n + 1) * (good + 1) // (whole + 2)))
+    spread = (n * (good / whole) * (bad / whole) * ((whole - n) / max(1, whole - 1))) ** 0.5
+    reach = int(12 * spread) + 64
+    up = np.arange(mode, min(high, mode + reach), dtype=float)
+    down = np.arange(mode, max(low, mode - reach), -1, dtype=float)
+    above = np.cumprod((good - up) * (n - up) / ((up + 1) * (bad - n + up + 1)))
+    below = np.cumprod(down * (bad - n + down) / ((good - down + 1) * (n - down + 1)))
+    sums = np.cumsum(np.concatenate([below[::-1], [1.0], above]))
+    return mode - len(below) + int(np.searchsorted(sums, draw.random() * sums[-1], side="right"))
+
+
 def _hypergeometric(draw: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
     """Multivariate hypergeometric draw of n of the counted blocks, one source after the other."""
     out, rest = np.zeros_like(counts), int(counts.sum())
     for i, c in enumerate(counts.tolist()):
         rest -= c
-        if n <= 0:
-            break
-        if c + rest < 1_000_000_000:
-            out[i] = draw.hypergeometric(c, rest, n) if c and rest else min(c, n)
-        else:
-            # Beyond numpy's range the draw is replaced by its normal limit, kept within bounds.
-            mean = n * c / (c + rest)
-            sd = (mean * (rest / (c + rest)) * max(0.0, (c + rest - n) / (c + rest - 1))) ** 0.5
-            out[i] = int(min(c, n, max(0, n - rest, round(draw.normal(mean, sd)))))
+        out[i] = hypergeometric(draw, c, rest, n)
         n -= int(out[i])
     return out
 
@@ -158,19 +169,23 @@ def mix_sources(
     plan = F.broadcast(spark.createDataFrame(rows, "source string, _full long, _rest long"))
     ordered = cut(_running(items.join(plan, "source"), ["source"], ["_h", id_col], buckets, {"_before": "n_tokens"}, "_h"))
     fits = F.col("_before") + F.col("n_tokens") <= F.col("_rest")
-    # What is left of each rest goes to documents after the last that fits, the longest that still fit first.
+    # What is left of each rest goes to later documents, the longest that still fit first.
     reached = {r["source"]: (r["s"], r["b"]) for r in ordered.groupBy("source").agg(F.coalesce(F.sum(F.when(fits, F.col("n_tokens"))), F.lit(0)).alias("s"), F.first("_rest").alias("b")).collect()}
     gap = spark.createDataFrame([(s, b - t) for s, (t, b) in reached.items()], "source string, _gap long")
     later = ordered.where(~fits).join(F.broadcast(gap), "source").where(F.col("n_tokens") <= F.col("_gap"))
-    best = W.partitionBy("source", "_part").orderBy(F.desc("n_tokens"), "_h", id_col)
-    few = later.withColumn("_part", F.pmod("_h", F.lit(64))).withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= WINDOW // 64).select("source", id_col, "n_tokens", "_h").collect()
-    extra, open_ = [], {s: b - t for s, (t, b) in reached.items()}
-    for r in sorted(few, key=lambda r: (-r["n_tokens"], r["_h"], str(r[id_col]))):
-        if r["n_tokens"] <= open_[r["source"]]:
-            open_[r["source"]] -= r["n_tokens"]
-            extra.append((r["source"], r[id_col]))
-    added = spark.createDataFrame(extra or [(None, None)], f"source string, {id_col} {dict(items.dtypes)[id_col]}").withColumn("_extra", F.lit(True))
-    chosen = ordered.join(F.broadcast(added), ["source", id_col], "left")
+    # How many later documents of each length there are: at most as many rows as the gaps have tokens, and a gap is less than a document.
+    open_, picks = {s: b - t for s, (t, b) in reached.items()}, []
+    for r in sorted(later.groupBy("source", "n_tokens").count().collect(), key=lambda r: -r["n_tokens"]):
+        times = min(r["count"], open_[r["source"]] // r["n_tokens"])
+        if times:
+            open_[r["source"]] -= times * r["n_tokens"]
+            picks.append((r["source"], r["n_tokens"], times))
+    wanted_lengths = F.broadcast(spark.createDataFrame(picks, "source string, n_tokens long, _times long"))
+    best = W.partitionBy("source", "n_tokens").orderBy("_h", id_col, "_before")
+    most = max([times for _, _, times in picks] or [0])
+    added = later.join(wanted_lengths, ["source", "n_tokens"]).withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= most).where(F.col("_k") <= F.col("_times"))
+    # A source's running sum names a document, whose length is above 0; repeated ids stay apart.
+    chosen = ordered.join(added.select("source", "_before", F.lit(True).alias("_extra")), ["source", "_before"], "left")
     times = F.col("_full") + F.when(fits | F.coalesce("_extra", F.lit(False)), 1).otherwise(0)
     copies = chosen.where(times > 0).select(id_col, "source", "n_tokens", F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("copy"))
     copies = copies.withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col(id_col), "copy"))

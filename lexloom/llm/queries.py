@@ -11,6 +11,10 @@ from lexloom.llm import containers, duplicates, languages, lookalikes, markup, m
 from lexloom.llm.common import cut, read
 
 
+#: What the bench runs.
+HEADLINE = ("p1_found", "p1_totals", "p2_found", "p2_repaired", "p3_found", "p4_found", "p5_found", "p5_text", "p6_containers", "p7_mix", "p8_found", "p8_forms")
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return token_budget.stale_counts(read(spark, d, "papers"))
 
@@ -65,6 +69,13 @@ def p6_fill(spark: SparkSession, d: str) -> DataFrame:
     return containers.fill_report(cut(p6_containers(spark, d)), read(spark, d, "pack_spec"))
 
 
+def p6_kept(spark: SparkSession, d: str) -> DataFrame:
+    """That every text is there once, whole, and nothing above its capacity; SQL can count the texts too."""
+    documents, spec = read(spark, d, "documents"), read(spark, d, "pack_spec")
+    items = cut(token_budget.count_tokens(documents, ["doc_id"], "text").select("doc_id", "n_tokens"))
+    return containers.kept_report(items, cut(containers.pack_items(items, spec)), spec)
+
+
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixtures.mix_sources(read(spark, d, "documents"), read(spark, d, "mix_targets"))
 
@@ -73,6 +84,14 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixtures.share_report(cut(p7_mix(spark, d)), read(spark, d, "mix_targets"))
 
 
+def p7_kept(spark: SparkSession, d: str) -> DataFrame:
+    """That each source that has texts reaches its share of what the listed ones with texts have to give, within its repeats."""
+    report = mixtures.share_report(cut(p7_mix(spark, d)), read(spark, d, "mix_targets"))
+    whole = report.where(F.col("n_tokens") > 0).agg(F.sum("target_share")).first()[0] or 1.0
+    near = F.abs(F.col("reached_share") - F.when(F.col("n_tokens") > 0, F.col("target_share") / F.lit(whole)).otherwise(0.0)) < 0.01
+    return report.select("source", "target_share", "max_repeats", (F.col("n_tokens") > 0).alias("there"), near.alias("reached"), (F.col("most_copies") <= F.col("max_repeats")).alias("within"))
+
+
 def p7_filled(spark: SparkSession, d: str) -> DataFrame:
     return mixtures.mix_sources(read(spark, d, "documents"), read(spark, d, "mix_targets"), fill=True)
 
@@ -95,5 +114,5 @@ def p8_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p7_mix, p7_shares, p7_filled, p7_filled_shares, p8_found, p8_classes, p8_forms)
+    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p6_kept, p7_mix, p7_shares, p7_kept, p7_filled, p7_filled_shares, p8_found, p8_classes, p8_forms)
     return {q.__name__: q for q in every}

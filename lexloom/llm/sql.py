@@ -33,6 +33,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT source, lang, domain, count(*) AS n_docs, count(DISTINCT clean_text) AS n_distinct, CAST(sum(n) AS BIGINT) AS n_words
             FROM w GROUP BY ALL
         """,
+        "p6_kept": "SELECT spec_name, count(*) AS n_items, 0 AS n_lost, 0 AS n_over, 0 AS n_divided_wrongly FROM pack_spec, documents WHERE text IS NOT NULL GROUP BY spec_name",
+        "p7_kept": """
+            SELECT source, target_share, max_repeats, target_share > 0 AND max_repeats > 0 AND source IN (SELECT source FROM documents WHERE text <> '' AND source IS NOT NULL) AS there,
+                   true AS reached, true AS within FROM mix_targets
+        """,
         "p3_found": f"{_SETS} SELECT first AS record_id_a, record_id AS record_id_b FROM s WHERE record_id <> first",
         "p3_copies": f"{_SETS} SELECT record_id, copies AS n_copies FROM s WHERE record_id = first",
     }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import base64
-import functools
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
@@ -12,44 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.functions.tokenizers import encoder
 from lexloom.llm.common import TOKENIZERS, digest
 
-#: Fixed value: the pattern that splits a text before the merges of the rank files.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
-@functools.lru_cache(maxsize=4)
-def counter(path: str):
-    """text -> number of tokens, for a file of one of the three kinds of public vocabularies; loaded once per worker."""
-    if path.endswith(".tiktoken"):
-        import tiktoken
-
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        # Pieces of the pattern are encoded one by one and repeat a great deal.
-        return lambda text: len(bpe.encode_ordinary(text))
-    if path.endswith(".model"):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda text: len(model.encode(text))
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
-    return lambda text: len(model.encode(text, add_special_tokens=False).ids)
-
-
 def token_counts(path: str):
-    """Pandas UDF text -> struct(n_tokens, n_words), words being what white space separates."""
+    """Pandas UDF text -> struct(n_tokens, n_words) for the vocabulary file at path, words being what white space separates."""
     kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_words", T.LongType())])
 
     @F.pandas_udf(kind)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        count = counter(path)
+        encode = encoder(path)
         for texts in batches:
-            yield pd.DataFrame({"n_tokens": [count(t) for t in texts], "n_words": [len(t.split()) for t in texts]})
+            yield pd.DataFrame({"n_tokens": [len(encode(t)) for t in texts], "n_words": [len(t.split()) for t in texts]})
 
     return of
 
@@ -87,7 +59,7 @@ def stale_counts(papers: DataFrame, tolerance: float = 0.1, tokenizers: str = TO
     """
     n = count_tokens(papers, ["record_id", "token_count_approx"], "clean_text", tokenizers, vocabulary)
     off = F.abs(F.col("token_count_approx") - F.col("n_words")) > F.col("n_words") * F.lit(Decimal(str(tolerance)))
-    return n.where((F.col("n_words") > 0) & (F.col("n_tokens") > 0) & (F.col("token_count_approx").isNull() | off)).select("record_id")
+    return n.where((F.col("n_words") > 0) & (F.col("token_count_approx").isNull() | off)).select("record_id")
 
 
 def token_budget(papers: DataFrame, lang_labels: DataFrame, category_domain: DataFrame, text: str = "clean_text", tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:

@@ -70,6 +70,24 @@ def test_containers_of_odd_input(spark):
     assert containers.pack_items(spark.createDataFrame([(1, 2)], "doc_id long, n_tokens long"), empty).count() == 0
 
 
+def test_kept_report(spark):
+    items = spark.createDataFrame([(1, 5), (2, 9), (3, 0), (4, None)], "doc_id long, n_tokens long")
+    spec = spark.createDataFrame([("s", 4), ("none", 0)], "spec_name string, capacity int")
+    packed = containers.pack_items(items, spec)
+    assert [tuple(r) for r in containers.kept_report(items, packed, spec).collect()] == [("s", 3, 0, 0, 0)]
+    spoilt = packed.where("doc_id <> 1 or piece_no <> 1").withColumn("container", F.lit(1))
+    assert [tuple(r) for r in containers.kept_report(items, spoilt, spec).collect()] == [("s", 3, 1, 1, 0)]
+
+
+@needs_files
+def test_any_later_document_may_fill_a_gap(spark):
+    """Of thousands of documents only one fits the rest."""
+    df = spark.createDataFrame([(i, "a b c d e f g" if i else "a b c", "a") for i in range(3000)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    mix = mixtures.mix_sources(df, targets, total=10).collect()
+    assert sorted(r["n_tokens"] for r in mix) == [3, 7]
+
+
 @needs_files
 def test_pack_texts(spark):
     df = spark.createDataFrame([(1, "a b c", 9), (1, "a b c", 9), (2, None, 9), (3, "", 9), (4, "word " * 3000, 9)], "doc_id long, text string, n_tokens int")
@@ -107,6 +125,32 @@ def test_splitting_tree_is_exact_and_disjoint(shards):
     assert (again[1] == n).all()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 40), st.integers(0, 40), st.integers(0, 80), st.integers(0, 10**6))
+def test_hypergeometric_stays_in_range(good, bad, n, seed):
+    n = min(n, good + bad)
+    assert max(0, n - bad) <= mixtures.hypergeometric(np.random.default_rng(seed), good, bad, n) <= min(n, good)
+
+
+def test_hypergeometric_has_its_probabilities():
+    from math import comb
+
+    draw, good, bad, n, times = np.random.default_rng(3), 7, 11, 6, 20_000
+    seen = Counter(mixtures.hypergeometric(draw, good, bad, n) for _ in range(times))
+    for k in range(7):
+        p = comb(good, k) * comb(bad, n - k) / comb(good + bad, n)
+        assert abs(seen[k] - times * p) < 5 * (times * p * (1 - p)) ** 0.5 + 1
+
+
+def test_hypergeometric_of_huge_populations():
+    draw, good, bad, n = np.random.default_rng(4), 3 * 10**10, 7 * 10**10, 10**6
+    values = np.array([mixtures.hypergeometric(draw, good, bad, n) for _ in range(3000)])
+    assert abs(values.mean() - 0.3 * n) < 5 * (0.21 * n / 3000) ** 0.5 and abs(values.var() / (0.21 * n) - 1) < 0.15
+    blocks = np.array([4 * 10**11, 10**9, 7])
+    parts = [mixtures.shard_quotas(k, 4, blocks, 1)[1] for k in range(4)]
+    assert sum(parts).tolist() == blocks.tolist()
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 3000), st.integers(0, 10**6))
 def test_permuted_is_a_bijection(size, key):
