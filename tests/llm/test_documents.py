@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+import pages as labelled
 from lexloom.llm import languages, markup, scans
 
 needs_files = pytest.mark.skipif(not Path("/opt/tokenizers").is_dir(), reason="no vocabulary files")
@@ -138,7 +139,7 @@ PAGES = {
 
 @pytest.mark.parametrize("page", PAGES)
 def test_kinds_of_markup(page):
-    assert markup.nodes_of(page)[1] == PAGES[page]
+    assert markup.kinds_of(markup.nodes_of(page)[1]) == PAGES[page]
 
 
 def test_clean_text_keeps_structure():
@@ -151,11 +152,60 @@ def test_clean_text_keeps_structure():
     assert markup.clean_of("plain text.\n\nmore.") == ("plain text.\n\nmore.", set())
 
 
-def test_tag_path_ratios_drop_what_is_no_text():
+def test_tag_path_ratios_drop_what_is_no_text(monkeypatch):
     nodes = [markup.Node("html/body/p", "text", "A long paragraph, with several marks. And more of it, too."), markup.Node("html/body/nav", "text", "Home"), markup.Node("html/style", "text", "p {x}")]
+    monkeypatch.setattr(markup, "SILENT", frozenset())
     assert markup.content_paths(nodes) == {"html/body/p"} and markup.content_paths([]) == set()
 
 
+@pytest.mark.parametrize("page, content, other", labelled.PAGES)
+def test_menus_and_adverts(monkeypatch, page, content, other):
+    monkeypatch.setattr(markup, "SILENT", frozenset())
+    text = markup.clean_of(page)[0]
+    assert all(c in text for c in content)
+    kept = [o for o in other if o in text]
+    assert not set(kept) - {"Printed from www.island.example", "We use cookies. Accept", "Buy new boots now! 50 % off."}
+
+
+def test_the_threshold_is_what_labelled_pages_give():
+    pages = []
+    for page, content, other in labelled.PAGES:
+        nodes = markup.nodes_of(page)[0]
+        pages.append((nodes, {i for i, n in enumerate(nodes) if " ".join(n.text.split()) not in other}))
+    threshold, rejected = markup.fit_threshold(pages)
+    assert markup.THRESHOLD <= threshold and rejected > 0.9
+
+
+def test_menus_of_links():
+    items = "".join(f"<li><a href='{x}'>{x} of the site, with more.</a></li>" for x in ("Home", "News", "Shop"))
+    page = f"<body><ul class='m'>{items}</ul><p>{labelled.P1}</p><ul><li>One <a href='x'>thing</a> that is said.</li><li>Another one.</li></ul><div class='side'><h3>Offers</h3><div>Only today</div></div></body>"
+    assert markup.clean_of(page)[0] == f"{labelled.P1}\n\n- One thing that is said.\n- Another one."
+
+
+def test_paths_tell_classes_and_kinds(spark):
+    page = "<html><body><div class='box big' id=\"n12\"><p>a <b>b</b> &amp; $x^2$</p></div></body></html>"
+    rows = {r["path"]: r for r in markup.markup_paths(spark.createDataFrame([("1", page), ("2", None), ("3", "")], "record_id string, full_text string")).collect()}
+    assert {"html/body/div.box#n0/p", "html/entity", "html/b", "latex/math"} <= set(rows) and rows["html/body/div.box#n0/p"]["content"] and rows["html/b"]["n"] == 2
+
+
+def test_structure_of_any_depth():
+    templates = "x {{a|{{b|{{c|{{d|{{e|f}}}}}}}}}} y"
+    assert markup.clean_of(templates)[0] == "x y" and markup.kinds_of(markup.nodes_of(templates)[1]) == {"wiki"}
+    deep = "\\textbf{" * 9 + "word" + "}" * 9
+    assert markup.clean_of(f"A {deep} of it~\\cite{{a{{b{{c{{d{{e}}}}}}}}}}.")[0] == "A word of it."
+    assert markup.clean_of("\\begin{document}\\section{A {b {c {d {e}}}} f}\n\ntext\\footnote{one {two {three}}}\\end{document}")[0].startswith("## A")
+    assert markup.kinds_of(markup.nodes_of("\\chapter{One}")[1]) == {"latex"}
+
+
+def test_unclosed_braces_take_linear_time():
+    import time
+
+    began = time.thread_time()
+    for mark in ("{{a ", "\\a{b ", "\\cite{", "\\section{"):
+        markup.clean_of(mark * 50_000)
+    assert time.thread_time() - began < 20
+
+
 def test_markup_rows(spark):
     rows = [("1", "<b>x</b> **y**", "k", 1), ("1", "<b>x</b> **y**", "k", 1), ("2", None, None, None), ("3", "", None, None), (None, "a &lt; b", None, None), ("5", "<p>" + "word, " * 60000 + "</p>", None, None), ("6", "{{" * 3000 + "<" * 3000 + "$" * 3001, None, None)]
     df = spark.createDataFrame(rows, "record_id string, full_text string, text string, kinds int")
