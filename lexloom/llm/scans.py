@@ -1,12 +1,17 @@
 """Noise in text from scanned pages: page furniture, words broken across lines, misrecognised characters.
 
-1. Every line of a document is classed by its place and shape; lines at the
-   edges of pages that belong to the page are furniture.
+1. Every line of a document is classed by its place and shape.  Furniture are
+   lines at the edges of pages: numbers that count pages, lines that recur from
+   page to page but for numbers and misread characters, and such as bear the
+   title, authors or volume.  Pages need no form feeds.
 2. The words of the running text of all documents are counted.  A rare word
    meets the frequent words it may be a misreading of by anagram hash: the sum
    of the fifth powers of its characters.  A confusion of characters changes the
    hash by a fixed difference, so that rare and frequent words are joined on
-   hash and difference in SQL, and verified by carrying the confusion out.
+   hash and difference in SQL, and verified by carrying the confusion out.  How
+   often each confusion happens is estimated from all words; a word that occurs
+   more often than that explains is a word of its own, the sooner if a public
+   vocabulary has it.
 3. A line that ends in a sign of hyphenation is judged by how often the joined
    and the hyphenated word occur in all documents.
 4. Repair drops furniture, joins broken words, puts in the corrections and makes
@@ -15,9 +20,12 @@
 
 from __future__ import annotations
 
+import base64
+import functools
+import json
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from operator import eq
 from os.path import commonprefix
@@ -27,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm.common import cut
+from lexloom.llm.common import TOKENIZERS, cut
 
 # Signs that stand for hyphenation at the end of a line.
 BREAKS = "-‐‑­¬"
@@ -44,10 +52,11 @@ _NUMBERED = re.compile(
 _STAMP = re.compile(r"arXiv\s*:\s*\S{6,}\s.*\d{4}|arXiv\s*:\s*\S{6,}(?:\s*\[[^\]]*\])?$")
 _DATE = re.compile(r"\d{1,2}\.\d{1,2}\.(?:\d{2}|\d{4})")
 _BARE = re.compile(r"\d{1,5}|[ivxlc]{1,7}")
-_AUTHORS = re.compile(r"(?:\d{1,5}\s{1,6})?(?:[^\s(]{3,30}\s+(?:et\s+\S{1,4}\.?|\S{1,3}\s+al\.)|[^\W\d_a-z]\S{2,28}.?et.{1,2}al\.)(?:\s{1,6}\d{1,5})?")
-_VOLUME = re.compile(r"(?:\d{1,5}\s{1,6})?(?:\S.{3,60},\s+V\S{1,3}\.\s*|[^\W\d_a-z][^\d.]{8,50}[,\s]\S{0,3}ol\S{0,4}?\s?)\d{1,5}(?:\s{1,6}\d{1,5})?")
+_AUTHORS = re.compile(r"(?:\d{1,5}\s{1,6})?(?:[^\s(]{3,}\s+(?:et\s+\S{1,4}\.?|\S{1,3}\s+al\.)|[^\W\d_a-z]\S{2,}?.?et.{1,2}al\.)(?:\s{1,6}\d{1,5})?")
+_VOLUME = re.compile(r"(?:\d{1,5}\s{1,6})?(?:\S.{3,},\s+V\S{1,3}\.\s*|[^\W\d_a-z][^\d.]{8,}[,\s]\S{0,3}ol\S{0,4}?\s?)\d{1,5}(?:\s{1,6}\d{1,5})?")
 _PAGED = re.compile(r"^\d{1,5}\s{2,6}(?=\D)|(?<=\S)\s{2,6}\d{1,5}$")
-_TABLE = re.compile(r"\S+(?:\s+\S+){0,3}(?:\s{2,}|\t)\S.*(?:\s{2,}|\t)\S+|[A-Z]{1,3}-?\d+(?:\s+-?[\d.,]+){1,8}")
+_SAMPLES = re.compile(r"[A-Z]{1,3}-?\d+(?:\s+-?[\d.,]+){1,8}")
+_HEADER = re.compile(r"[^\\|{}<>=]*[^\\|{}<>=.,;:!?-]")
 _HEADING = re.compile(r"#{1,6}\s+\S.*")
 _EQUATION = re.compile(r"\(\s*\d{1,3}[a-z]?\s*\)|.*[^\s\w]\s*=\s*.*\(\d{1,3}\)|\S{1,12}\s*=\s*\S.*")
 _WORD = re.compile(r"[^\W_][\w!|'’]*(?:-[^\W_][\w!|'’]*)*|[!|][^\W\d_][\w!|]*")
@@ -88,6 +97,13 @@ def _flat(line: str) -> str:
     return " ".join(_PAGED.sub("", line).split())
 
 
+def _is_table(line: str) -> bool:
+    """Whether a line is a row of a table: a wide gap before its last entry, and one behind one of its first four words; or a sample with numbers."""
+    gaps = re.findall(r"\s+", line)
+    wide = [len(g) > 1 or g == "\t" for g in gaps]
+    return len(gaps) > 1 and wide[-1] and any(wide[:-1][:4]) or _SAMPLES.fullmatch(line) is not None
+
+
 def classes_of(text: str, *titles: str | None) -> list[str]:
     """A class per line: blank, furniture, table, number, heading, equation, code or text.
 
@@ -107,8 +123,6 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
         size = len(s)
         if not s:
             out[i] = "blank"
-        elif size > 400:
-            continue
         elif size < 40 and _NUMBERED.fullmatch(s) or "arXiv" in s[:8] and _STAMP.fullmatch(s):
             out[i] = "furniture"
         elif size < 12 and _DATE.fullmatch(s):
@@ -117,13 +131,13 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
             out[i] = "bare"
         elif s[0] == "#" and _HEADING.fullmatch(s):
             out[i] = "heading"
-        elif wrapped and (size < 60 and (" et " in s or "al." in s) and _AUTHORS.fullmatch(s) or size < 90 and ("ol" in s or " V" in s) and _VOLUME.fullmatch(s) and s[0].isalnum()):
+        elif wrapped and (("al" in s[-12:] or "et" in s[-18:]) and _AUTHORS.fullmatch(s) or s[-1].isdigit() and ("ol" in s or " V" in s) and s[0].isalnum() and _VOLUME.fullmatch(s)):
             out[i] = "furniture"
         elif s[0] == "(" and size < 12 and re.fullmatch(r"\(\s*\d{1,3}[a-z]?\s*\)", s):
             out[i] = "equation"
         elif wrapped and (s.endswith("...") or "... " in s or not s[1:4].islower()) and (_PAGED.sub("", s).endswith(" ...") or _is_upper(_PAGED.sub("", s))) and not re.search(r"\s{2,}\S+\s{2,}", s):
             out[i] = "furniture"
-        elif ("  " in s or "\t" in s or s[0].isupper() and not s[1:2].islower()) and _TABLE.fullmatch(s):
+        elif ("  " in s or "\t" in s or s[0].isupper() and not s[1:2].islower()) and _is_table(s):
             out[i] = "table"
         elif lines[i].startswith("    ") and not (i and out[i - 1] == "text"):
             out[i] = "code"
@@ -135,13 +149,10 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     if wrapped:
         heads = {_flat(bare[i]) for i in filled if out[i] == "furniture" and len(bare[i]) > 9 and bare[i][:1].isalpha()}
         for i in filled if heads else ():
-            if out[i] == "text" and 9 < len(bare[i]) < 90 and _at_edge(lines, out, i) and any(_near(_flat(bare[i]), h) for h in heads):
+            if out[i] == "text" and len(bare[i]) > 9 and _at_edge(lines, out, i) and any(_near(_flat(bare[i]), h) for h in heads):
                 out[i] = "furniture"
-        seen = Counter(_key(bare[i]) for i in filled if out[i] == "text" and bare[i][:1].isupper() and len(bare[i]) < 80)
-        for i in filled:
-            if out[i] == "text" and "\x0c" in lines[i] and seen.get(_key(bare[i]), 0) > 1 and not re.search(r"[.,;]$", bare[i]):
-                out[i] = "furniture"
-    _numbers(bare, out, wrapped)
+        _recurring(lines, bare, out, filled)
+    _numbers(lines, bare, out, wrapped)
     if wrapped:
         # A line that starts anew where a word was broken off, and doesn't go on in the next, is a running header.
         running = [i for i in filled if out[i] == "text"]
@@ -152,6 +163,50 @@ def classes_of(text: str, *titles: str | None) -> list[str]:
     return out
 
 
+def _recurring(lines: list[str], bare: list[str], out: list[str], filled: list[int]) -> None:
+    """Lines that recur from page to page but for their numbers.
+
+    Twice is enough at an edge that shows itself by a form feed, page number or
+    other furniture.  Elsewhere a line has to recur three times at distances like
+    those of pages, and not as part of a longer passage that recurs; it is shorter
+    than the lines around it, or recurs a fourth time and what stands before and
+    after it changes.
+    """
+    places: dict[str, list[int]] = defaultdict(list)
+    for i in filled:
+        if out[i] == "text" and sum(map(str.isalpha, bare[i])) > 3 and not bare[i][0].islower():
+            places[_key(_flat(bare[i]))].append(i)
+    sure = ("furniture", "bare", "date")
+    edge = lambda i: "\x0c" in lines[i] or i and out[i - 1] in sure or i + 1 < len(out) and out[i + 1] in sure
+    regular: dict[int, list[int]] = {}
+    for at in places.values():
+        if len(at) < 2 or not _HEADER.fullmatch(bare[at[0]]):
+            continue
+        edges = [i for i in at if edge(i)]
+        if len(edges) > 1:
+            for i in edges:
+                out[i] = "furniture"
+        gaps = [b - a for a, b in zip(at, at[1:])]
+        if len(at) > 2 and min(gaps) > 4 and max(gaps) <= 3 * min(gaps):
+            regular |= dict.fromkeys(at, at)
+    if not regular:
+        return
+    width = sorted(len(bare[i]) for i in filled if out[i] == "text")
+    width = width[len(width) // 2] if width else 0
+
+    def beside(i: int, step: int) -> str:
+        while 0 <= (i := i + step) < len(bare) and (i in regular or not bare[i] or out[i] in sure):
+            pass
+        return bare[i].split()[0 if step > 0 else -1] if 0 <= i < len(bare) else ""
+
+    long_runs = {i for i in regular if all(i + k in regular for k in range(-1, 3)) or all(i + k in regular for k in range(-2, 2)) or all(i + k in regular for k in range(4)) or all(i - k in regular for k in range(4))}
+    for i, at in regular.items():
+        if out[i] == "text" and i not in long_runs:
+            changes = len(at) > 3 and all(3 * len({beside(j, step) for j in at}) > 2 * len(at) for step in (-1, 1))
+            if changes or len(bare[i]) < 0.75 * width and " " in bare[i]:
+                out[i] = "furniture"
+
+
 def _is_wrapped(lengths: list[int]) -> bool:
     """Whether most of the text stands in lines of a page's width; single wide rows or merged paragraphs don't count."""
     return max(lengths) < WIDE or 2 * sum(x for x in lengths if x >= WIDE) < sum(lengths)
@@ -174,9 +229,19 @@ def _key(line: str) -> str:
     return re.sub(r"\d+", "0", line).casefold()
 
 
-def _numbers(bare: list[str], out: list[str], wrapped: bool) -> None:
-    """Lines with a bare number or a date: of the page, or of a table or text."""
+def _numbers(lines: list[str], bare: list[str], out: list[str], wrapped: bool) -> None:
+    """Lines with a bare number or a date: of the page, or of a table or text.
+
+    A number that could be a year, stands amid the text and counts no pages is
+    text.
+    """
     n = len(bare)
+    ends = [i for i in range(n) if bare[i]]
+    ends = {ends[0], ends[-1]}
+
+    def counts_pages(i: int, value: int) -> bool:
+        near = [next((j for j in range(i + step, n if step > 0 else -1, step) if out[j] != "blank"), None) for step in (-1, 1)]
+        return i in ends or "\x0c" in lines[i] or any(j is not None and ("\x0c" in lines[j] or out[j] in ("furniture", "date")) for j in near) or any(v in (value - 1, value + 1) for j, v in sure if j != i)
 
     def beside(i: int, step: int) -> str:
         j = i + step
@@ -200,6 +265,10 @@ def _numbers(bare: list[str], out: list[str], wrapped: bool) -> None:
             sure.append((i, int(bare[i])))
         else:
             out[i] = "number"
+    for i, value in sure if wrapped else ():
+        if 1500 <= value <= 2100 and not counts_pages(i, value):
+            out[i] = "text"
+    sure = [(i, v) for i, v in sure if out[i] == "furniture"]
     for i in open_:
         value = int(bare[i])
         last = next((v for j, v in reversed(sure) if j < i), None)
@@ -259,6 +328,10 @@ CONFUSIONS = (
 MODULUS = (1 << 61) - 1
 #: A word is frequent from so many occurrences on, and so many times those of the rare word.
 FREQUENT, TIMES = 8, 10
+#: How much more often than its confusions on average a word may be misread, and places without a misreading that are added to those of each confusion.
+EXCESS, PRIOR = 3.0, 2000.0
+#: The vocabulary files whose whole words are words.
+LEXICON = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", "word_bpe_49k.json")
 #: So many of the most frequent words are known to every task, to leave out at once what can't be a misreading.
 KNOWN = 50_000
 
@@ -299,14 +372,46 @@ def _confusions() -> Column:
     ])
 
 
-def corrections(vocab: DataFrame, frequent: int = FREQUENT, times: int = TIMES) -> DataFrame:
+@functools.lru_cache(maxsize=4)
+def lexicon(files: tuple[str, ...]) -> tuple[str, ...]:
+    """The words of three letters or more that are whole pieces of public vocabularies, in lower case."""
+    words: set[str] = set()
+    for path in files:
+        if path.endswith(".tiktoken"):
+            with open(path, "rb") as lines:
+                pieces = [base64.b64decode(line.split()[0]).decode("utf-8", "ignore") for line in lines]
+            words.update(p[1:] for p in pieces if p[:1] == " ")
+        elif path.endswith(".json"):
+            with open(path, "rb") as content:
+                pieces = json.load(content)["model"]["vocab"]
+            words.update(p[:-4] if p.endswith("</w>") else p[1:] for p in pieces if p.endswith("</w>") or p[:1] == "Ġ")
+        else:
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            words.update(p[1:] for p in map(model.id_to_piece, range(model.get_piece_size())) if p[:1] == "▁")
+    return tuple(sorted({w.lower() for w in words if len(w) > 2 and w.isalpha()}))
+
+
+def _occurrences(word: Column, part: Column) -> Column:
+    return (F.length(word) - F.length(F.replace(word, part, F.lit("")))) / F.length(part)
+
+
+def corrections(vocab: DataFrame, frequent: int = FREQUENT, times: int = TIMES, words: Sequence[str] = ()) -> DataFrame:
     """(word, correction, place, width): rare words that are misreadings of frequent ones.
 
     A rare word is joined with the frequent words whose anagram hash differs from
     its own by the difference of a confusion whose seen form it holds; carrying
     the confusion out verifies a candidate.  Candidates are ranked by frequency;
     place is where the misread characters begin, counted from 0, width how many.
+
+    How often a confusion happens is the share of its places in frequent words
+    where it was seen, words that a public vocabulary has left aside.  That gives
+    how many misreadings of a frequent word to expect.  A candidate that occurs
+    more often than EXCESS times that and three standard deviations is a word of
+    its own; one that isn't in `words` may occur three times more.
     """
+    spark = vocab.sparkSession
     rare = vocab.where((F.length("word") > 2) & F.col("word").rlike(r"\p{Ll}|[!|]") & ~F.col("word").rlike(r"^(.)\1*$") & ~F.col("word").rlike(r"^\p{Lu}{1,3}-?\d+$"))
     tried = rare.select("word", "n", "hash", F.explode(F.filter(_confusions(), lambda c: F.contains(F.col("word"), c["seen"]))).alias("c"))
     tried = tried.select("word", F.col("n").alias("_n"), "c", F.pmod(F.col("hash") + F.col("c.shift"), F.lit(MODULUS)).alias("hash"))
@@ -319,12 +424,24 @@ def corrections(vocab: DataFrame, frequent: int = FREQUENT, times: int = TIMES)
     # A join condition on the confusion's seen form keeps the candidates few.
     pairs = tried.join(known, "hash").where(F.col("_m") >= times * F.col("_n")).withColumn("_places", F.filter(places, lambda p: F.substring(word, p, F.length(seen)) == seen))
     best = F.max_by(
-        F.struct("correction", (F.col("_places")[0] - 1).alias("place"), F.length(seen).alias("width")),
+        F.struct("correction", (F.col("_places")[0] - 1).alias("place"), F.length(seen).alias("width"), F.col("c.rank").alias("rank"), "_m", "_n"),
         F.struct(F.col("_m"), -F.col("c.rank"), F.col("correction")),
     )
-    return pairs.where(F.size("_places") > 0).groupBy("word").agg(best.alias("_b")).select("word", "_b.correction", "_b.place", "_b.width")
-
-
+    found = pairs.where(F.size("_places") > 0).groupBy("word").agg(best.alias("_b")).select("word", "_b.*")
+    listed = F.broadcast(spark.createDataFrame([(w,) for w in words] or [(None,)], "_w string"))  # as many words as the vocabulary files have
+    found = cut(found.join(listed, F.lower("word") == F.col("_w"), "left").withColumn("_own", F.col("_w").isNotNull()).drop("_w"))
+    chances = known.select("_m", "correction", F.explode(F.filter(_confusions(), lambda c: F.contains(F.col("correction"), c["true"]))).alias("c"))
+    chances = chances.groupBy(F.col("c.rank").alias("rank")).agg(F.sum(F.col("_m") * _occurrences(F.col("correction"), F.col("c.true"))).alias("_of"))
+    happened = found.where(~F.col("_own")).groupBy("rank").agg(F.sum("_n").alias("_did"))
+    rates = chances.join(happened, "rank", "left").select("rank", ((F.coalesce("_did", F.lit(0)) + 1) / (F.col("_of") + PRIOR)).alias("_rate"))
+    expected = F.col("_m") * F.col("_rate")
+    most = EXCESS * expected + 3 * F.sqrt(expected) + F.when(F.col("_own"), 0).otherwise(3)
+    return found.join(F.broadcast(rates), "rank").where(F.col("_n") <= most).select("word", "correction", "place", "width")  # a rate per confusion
+
+
+#: A letter per class of line.
+CODES = {"blank": "b", "furniture": "f", "table": "t", "number": "n", "heading": "h", "equation": "e", "code": "c", "text": "x"}
+_CLASSES = {code: name for name, code in CODES.items()}
 _MARKS = "_id string, line_no int, next_no int, noise string, word string, lo int, hi int, left string, sign string, right string"
 
 
@@ -336,6 +453,7 @@ def _marked(known: frozenset[str]):
             out = []
             for id_, title, abstract, text in zip(batch["_id"], batch["_title"], batch["_abstract"], batch["_text"]):
                 classes, words, breaks = tokens_of(text, title, abstract)
+                out.append((id_, 0, None, "classes", "".join(CODES[c] for c in classes), None, None, None, None, None))
                 out += [(id_, i + 1, None, "furniture", None, None, None, None, None, None) for i, c in enumerate(classes) if c == "furniture"]
                 out += [(id_, i + 1, None, "misread", w, lo, hi, None, None, None) for i, w, lo, hi in words if w not in known]
                 for i, left, sign, right, j in breaks:
@@ -345,20 +463,21 @@ def _marked(known: frozenset[str]):
     return of
 
 
-def noise_marks(df: DataFrame, id_col: str = "record_id", text: str = "full_text", title: str = "title", abstract: str = "abstract") -> DataFrame:
+def noise_marks(df: DataFrame, id_col: str = "record_id", text: str = "full_text", title: str = "title", abstract: str = "abstract", tokenizers: str = TOKENIZERS, files: Sequence[str] = LEXICON) -> DataFrame:
     """(_id, line_no, next_no, noise, word, left, right, correction): every mark of noise, with what repairs it.
 
-    noise is furniture, hyphen or misread.  The most frequent words, a number
+    noise is furniture, hyphen or misread, or classes: the classes of all lines
+    of a document, a letter each.  The most frequent words, a number
     bounded by KNOWN and never one with a correction, are known to the tasks, so
     that only what is left of the text reaches the join with the corrections.
     """
     vocab = cut(vocabulary(df, text, title, abstract))
-    fixes = cut(corrections(vocab))
+    fixes = cut(corrections(vocab, words=lexicon(tuple(f"{tokenizers}/{f}" for f in files))))
     top = vocab.join(fixes, "word", "left_anti").orderBy(F.desc("n"), "word").limit(KNOWN).where(F.col("n") > 1)
     known = frozenset(r[0] for r in top.select("word").toLocalIterator())
     rows = df.where(F.col(text).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), *_columns(df, title, abstract), F.col(text).alias("_text"))
     marks = cut(rows.mapInPandas(_marked(known), _MARKS))
-    furniture = marks.where(F.col("noise") == "furniture").select("_id", "line_no", "next_no", "noise", "word", "left", "right", F.lit(None).cast("string").alias("correction"))
+    furniture = marks.where(F.col("noise").isin("furniture", "classes")).select("_id", "line_no", "next_no", "noise", "word", "left", "right", F.lit(None).cast("string").alias("correction"))
     at = (F.col("place") < F.col("hi")) & (F.col("place") + F.col("width") > F.col("lo"))
     misread = marks.where(F.col("noise") == "misread").join(fixes, "word").where(at).select("_id", "line_no", "next_no", "noise", "word", "left", "right", "correction")
     breaks = marks.where(F.col("noise") == "hyphen")
@@ -384,17 +503,21 @@ def noisy_lines(df: DataFrame, id_col: str = "record_id", text: str = "full_text
     Null and blank texts have none.  Rows that repeat an id give its lines once.
     Without a title or abstract column, these are taken to be null.
     """
-    return noise_marks(df, id_col, text, title, abstract).select(F.col("_id").alias(id_col), "line_no", "noise").distinct()
+    marks = noise_marks(df, id_col, text, title, abstract).where(F.col("noise") != "classes")
+    return marks.select(F.col("_id").alias(id_col), "line_no", "noise").distinct()
 
 
 def repaired(text: str, marks: list, *titles: str | None) -> str:
     """The running text in continuous paragraphs, without what the marks name.
 
-    marks are (line_no, next_no, noise, word, left, right, correction).  Headings,
-    tables, equations and code keep their lines.
+    marks are (line_no, next_no, noise, word, left, right, correction); without
+    one of the lines' classes these are found anew.  Headings, tables, equations
+    and code keep their lines.
     """
     lines = [x.strip("\r\x0c") for x in text.split("\n")]
-    classes = classes_of(text, *titles)
+    codes = next((m[3] for m in marks if m[2] == "classes" and len(m[3]) == len(lines)), None)
+    classes = [_CLASSES[c] for c in codes] if codes is not None else classes_of(text, *titles)
+    marks = [m for m in marks if m[2] != "classes"]
     broken: set[int] = set()
     for line, after, noise, word, left, right, correction in marks:
         if noise == "furniture":

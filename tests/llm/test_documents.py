@@ -66,6 +66,50 @@ def test_bare_numbers():
     assert kinds["5"] == kinds["6"] == kinds["7"] == "furniture" and kinds["40"] == kinds["41"] == "number"
 
 
+def wrapped(seed, rows=30):
+    import random
+
+    draw = random.Random(seed)
+    words = "the lattice pressure model results of water in runs were measured and found again low high".split()
+    return "\n".join(" ".join(draw.choice(words) for _ in range(8)) for _ in range(rows))
+
+
+def test_headers_and_footers_without_form_feeds():
+    pages = [f"Methods of the study\n{wrapped(i)}\n© The Authors, all rights reserved" for i in range(5)]
+    text = "\n".join(pages)
+    kinds = scans.classes_of(text)
+    assert {x for x, c in zip(text.split("\n"), kinds) if c == "furniture"} == {"Methods of the study", "© The Authors, all rights reserved"}
+    assert kinds.count("furniture") == 10
+    passage = wrapped(1, 12) + "\n"
+    assert "furniture" not in scans.classes_of(passage * 6)
+
+
+def test_a_year_amid_the_text_is_text():
+    text = f"{wrapped(1)}\nIn the survey of Klein et al.\n1998\nthe water was low and the model of it high\n{wrapped(2)}"
+    assert "furniture" not in scans.classes_of(text)
+    counted = f"{wrapped(1)}\n1998\n{wrapped(2)}\n1999\n{wrapped(3)}"
+    assert scans.classes_of(counted).count("furniture") == 2
+
+
+def test_lines_of_any_length_are_classed():
+    row = "sample   " + "12.5   " * 80 + "7"
+    assert scans.classes_of(row) == ["table"] and scans.classes_of("A\n" + "word " * 40000)[1] == "text"
+
+
+REAL = {"are": 5000, "arc": 40, "modern": 900, "modem": 12, "had": 4000, "bad": 30, "hear": 10, "bear": 1, "clear": 800, "dear": 9, "eat": 1000, "cat": 20, "com": 90, "corn": 3, "tie": 700, "tic": 5}
+
+
+@needs_files
+def test_words_of_their_own_stay(spark):
+    words = scans.lexicon(tuple(f"/opt/tokenizers/{f}" for f in scans.LEXICON))
+    for more in ({}, {"model": 100, "rnodel": 2, "lattice": 9000, "latticc": 4, "Iattice": 1}):
+        vocab = spark.createDataFrame([(w, n, scans.anagram_hash(w)) for w, n in (REAL | more).items()], "word string, n long, hash long")
+        assert {r["word"] for r in scans.corrections(vocab, words=words).collect()} == set(more) - {"model", "lattice"} - {"Iattice"}
+    # Ten times the text doesn't make them misreadings.
+    vocab = spark.createDataFrame([(w, 10 * n, scans.anagram_hash(w)) for w, n in REAL.items()], "word string, n long, hash long")
+    assert scans.corrections(vocab, words=words).count() == 0
+
+
 def test_corrections(spark):
     words = {"model": 100, "rnodel": 2, "modcl": 1, "form": 50, "forrn": 40, "Model": 30, "of": 99, "0f": 1, "xyz": 3, "iii": 1}
     vocab = spark.createDataFrame([(w, n, scans.anagram_hash(w)) for w, n in words.items()], "word string, n long, hash long")
