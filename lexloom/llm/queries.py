@@ -53,6 +53,10 @@ def p4_languages(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("record_id", "label", "lang", "confidence", F.size("segments").alias("n_segments"))
 
 
+def p4_segments(spark: SparkSession, d: str) -> DataFrame:
+    return languages.language_segments(read(spark, d, "papers"), read(spark, d, "lang_labels"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.markup_found(read(spark, d, "papers"))
 
@@ -114,5 +118,5 @@ def p8_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p5_found, p5_text, p6_containers, p6_fill, p6_kept, p7_mix, p7_shares, p7_kept, p7_filled, p7_filled_shares, p8_found, p8_classes, p8_forms)
+    every = (p1_found, p1_totals, p1_words, p2_found, p2_repaired, p3_found, p3_copies, p4_found, p4_languages, p4_segments, p5_found, p5_text, p6_containers, p6_fill, p6_kept, p7_mix, p7_shares, p7_kept, p7_filled, p7_filled_shares, p8_found, p8_classes, p8_forms)
     return {q.__name__: q for q in every}

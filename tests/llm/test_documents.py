@@ -152,9 +152,70 @@ def test_languages(spark):
     assert {x[1:] for x in found if x[0] == "mixed"} == {(1, "en"), (2, "de"), (2, "ja"), (4, "en")}
     wrong = {f"{lang}{i}" for lang in ("de", "fr", "ja") for i in (0, 6)} | {"mixed", "null", "odd"}
     assert {x[0] for x in found} - {"x"} == wrong
+    places = languages.language_segments(df, labels)
+    assert places.where("record_id = 'mixed'").count() == 5 and places.where("start >= end").count() == 0
     assert languages.identify(df.limit(0), labels).count() == 0 and languages.identify(df, labels.limit(0)).where("lang is null").count() == len(rows)
 
 
+UNSEEN = {
+    "en": ["Heat is lost through the wall when the valve remains open.", "None of these methods was able to find the missing atoms.", "The second set of curves has been shifted for clarity."],
+    "de": ["Der zweite Versuch wurde bei niedrigem Druck durchgeführt.", "Es wurde kein Einfluss der Temperatur auf das Ergebnis gefunden.", "Zur Messung diente eine Waage mit hoher Genauigkeit."],
+    "fr": ["La seconde série de mesures a été faite à basse température.", "On ne trouve aucune trace de cette phase dans les échantillons.", "Le modèle décrit bien la forme des courbes observées."],
+    "ja": ["測定の結果は理論とよく一致している。", "温度を下げると電気伝導度が大きく減少した。", "この方法を用いて結晶の構造を調べた。"],
+}
+
+
+@pytest.fixture(scope="module")
+def model():
+    samples = {lang: [" ".join(s[i % 3 :] + s[: i % 3]) for i in range(20)] for lang, s in SENTENCES.items()}
+    learn, held = languages.held_out(samples)
+    assert [len(learn["en"]), len(held["en"])] == [18, 2] and not set(UNSEEN["en"]) & set(SENTENCES["en"])
+    out = languages.fit(learn, "/opt/tokenizers/piece_bpe_32k.model")
+    languages.calibrate(out, held)
+    return out
+
+
+@needs_files
+def test_sentences_that_were_not_learnt_from(model):
+    for lang, sentences in UNSEEN.items():
+        for sentence in sentences:
+            assert languages.segments_of(sentence, model)[1] == lang, sentence
+
+
+@needs_files
+def test_switches_within_a_paragraph_have_places(model):
+    parts = [SENTENCES["en"][0], SENTENCES["de"][0], SENTENCES["en"][1], SENTENCES["ja"][0]]
+    text = "Table 1\n\n" + " ".join(parts) + "\n\n12.5"
+    segments, lang, sure = languages.segments_of(text, model)
+    assert [(s.para_no, s.lang) for s in segments] == [(1, "en"), (2, "en"), (2, "de"), (2, "en"), (2, "ja")] and lang == "en" and 0 < sure < 0.8
+    assert [text[s.start : s.end] for s in segments] == ["Table 1", *parts]
+    assert [s.whole for s in segments] == [False, True, True, True, True]
+
+
+@needs_files
+def test_every_sentence_has_a_segment(model):
+    text = "Fig. 2 shows it\n\nOui. " + SENTENCES["fr"][0] + " Ja\n\nxyz"
+    segments = languages.segments_of(text, model)[0]
+    assert all(any(s.start <= i < s.end for s in segments) for i, c in enumerate(text) if c.isalpha())
+    assert languages.segments_of("12 + 3 = 15\n\n", model) == ([], None, 0.0)
+    assert [s.lang for s in languages.segments_of("Die", model)[0]] == [languages.segments_of("Die", model)[1]]
+
+
+@needs_files
+def test_confidence_is_fitted_on_held_out_labels(model):
+    right = {lang: [" ".join(s)] * 10 for lang, s in UNSEEN.items()}
+    assert languages.calibrate(model, right) < 0.05 and languages.calibration_error(model, right) < 0.1
+    wrong = {lang: right[other] + right[lang] for lang, other in zip(right, ["de", "fr", "ja", "en"])}
+    assert languages.calibrate(model, wrong) > 0.3
+    languages.calibrate(model, right)
+
+
+def test_quotations_and_references_of_any_length():
+    long = "sehr lange Worte " * 100
+    assert languages.words_of(f"We read „{long}“ once ({long}1999).") == ["we", "read", "once"]
+    assert languages.words_of("see (and hear) it") == ["see", "and", "hear", "it"]
+
+
 @needs_files
 def test_forward_sums_all_segmentations():
     import itertools
