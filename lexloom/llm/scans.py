@@ -73,7 +73,12 @@ def _like(line: str, title: str) -> bool:
     line = line.rstrip(". ").casefold()
     if len(line) < 8 or line[:1] != title[:1] and line[1:3] != title[1:3]:
         return False
-    return any(_same(line, title[: len(line) + shift]) for shift in (0, 1, -1)) or any(_alike(line, title[: len(line) + shift]) for shift in (0, -1, 1, -2, 2, -3, 3))
+    if any(_same(line, title[: len(line) + shift]) for shift in (0, 1, -1)):
+        return True
+    # Characters in common bound the likeness with any of the beginnings.
+    if (Counter(line) & Counter(title[: len(line) + 3])).total() < 0.88 * (len(line) - 1.5):
+        return False
+    return any(_alike(line, title[: len(line) + shift]) for shift in (0, -1, 1, -2, 2, -3, 3))
 
 
 def _same(line: str, other: str) -> bool:
@@ -94,7 +99,9 @@ def _alike(line: str, other: str) -> bool:
 
 def _flat(line: str) -> str:
     """A line without page numbers at its ends and with single spaces."""
-    return " ".join(_PAGED.sub("", line).split())
+    if line[:1].isdigit() or line[-1:].isdigit():
+        line = _PAGED.sub("", line)
+    return " ".join(line.split())
 
 
 def _is_table(line: str) -> bool:
@@ -174,13 +181,13 @@ def _recurring(lines: list[str], bare: list[str], out: list[str], filled: list[i
     """
     places: dict[str, list[int]] = defaultdict(list)
     for i in filled:
-        if out[i] == "text" and sum(map(str.isalpha, bare[i])) > 3 and not bare[i][0].islower():
+        if out[i] == "text" and not bare[i][0].islower():
             places[_key(_flat(bare[i]))].append(i)
     sure = ("furniture", "bare", "date")
     edge = lambda i: "\x0c" in lines[i] or i and out[i - 1] in sure or i + 1 < len(out) and out[i + 1] in sure
     regular: dict[int, list[int]] = {}
     for at in places.values():
-        if len(at) < 2 or not _HEADER.fullmatch(bare[at[0]]):
+        if len(at) < 2 or not _HEADER.fullmatch(bare[at[0]]) or sum(map(str.isalpha, bare[at[0]])) < 4:
             continue
         edges = [i for i in at if edge(i)]
         if len(edges) > 1:
@@ -280,20 +287,19 @@ def _numbers(lines: list[str], bare: list[str], out: list[str], wrapped: bool) -
 
 def words_of(line: str) -> list[str]:
     """The words of a line that hold a Latin letter, with signs that may stand for letters inside them."""
-    return [x for w in _WORD.findall(line) if _LETTER.search(w) and (x := w.strip("_'’"))]
+    return [w.rstrip("_'’") if w[-1] in "_'’" else w for w in _WORD.findall(line) if "a" <= w[0] <= "z" or _LETTER.search(w)]
 
 
-def tokens_of(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int, str, int, int]], list[tuple[int, str, str, str, int]]]:
-    """Classes of the lines, words of the running text, and words broken at line ends.
+def running_words(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int, list[str]]], list[tuple[int, str, str, str, int]]]:
+    """Classes of the lines, the words of each line of running text, and words broken at line ends.
 
-    A word is (line, word, lo, hi): a misread character at lo <= place < hi of
-    the word lies in that line.  A word broken across lines is no word of either
-    line but a break: (line, left part, sign, right part, next line).
+    A word broken across lines is no word of either line but a break: (line,
+    left part, sign, right part, next line).
     """
     classes = classes_of(text, *titles)
     lines = text.split("\n")
     running = [i for i, c in enumerate(classes) if c in ("text", "heading")]
-    words: list[tuple[int, str, int, int]] = []
+    words: list[tuple[int, list[str]]] = []
     breaks: list[tuple[int, str, str, str, int]] = []
     carried = False
     for k, i in enumerate(running):
@@ -302,7 +308,7 @@ def tokens_of(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int
         if carried and found:
             found.pop(0)
         carried = False
-        if k + 1 < len(running) and len(line) > 2 and line[-1] in BREAKS and (line[-2].isalnum() or line[-2] in "!|"):
+        if line[-1:] in BREAKS and len(line) > 2 and k + 1 < len(running) and (line[-2].isalnum() or line[-2] in "!|"):
             j = running[k + 1]
             gap = classes[i + 1 : j]
             right = _WORD.match(lines[j].strip(_BLANKS))
@@ -312,7 +318,8 @@ def tokens_of(text: str, *titles: str | None) -> tuple[list[str], list[tuple[int
                 carried = True
                 if found:
                     found.pop()
-        words += [(i, w, 0, len(w)) for w in found]
+        if found:
+            words.append((i, found))
     return classes, words, breaks
 
 
@@ -348,7 +355,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if abstract:
                 total.update(words_of(abstract))
             if text:
-                total.update([w for _, w, _, _ in tokens_of(text, title, abstract)[1]])
+                total.update([w for _, words in running_words(text, title, abstract)[1] for w in words])
         if total:
             yield pd.DataFrame({"word": list(total), "n": list(total.values()), "hash": [anagram_hash(w) for w in total]})
 
@@ -446,16 +453,19 @@ _MARKS = "_id string, line_no int, next_no int, noise string, word string, lo in
 
 
 def _marked(known: frozenset[str]):
-    """Per row: its furniture lines, the words that aren't known, and the breaks."""
+    """Per row: its furniture lines, the words that aren't known, and the breaks.
+
+    A misread character at lo <= place < hi of a word lies in its line.
+    """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for id_, title, abstract, text in zip(batch["_id"], batch["_title"], batch["_abstract"], batch["_text"]):
-                classes, words, breaks = tokens_of(text, title, abstract)
+                classes, words, breaks = running_words(text, title, abstract)
                 out.append((id_, 0, None, "classes", "".join(CODES[c] for c in classes), None, None, None, None, None))
                 out += [(id_, i + 1, None, "furniture", None, None, None, None, None, None) for i, c in enumerate(classes) if c == "furniture"]
-                out += [(id_, i + 1, None, "misread", w, lo, hi, None, None, None) for i, w, lo, hi in words if w not in known]
+                out += [(id_, i + 1, None, "misread", w, 0, len(w), None, None, None) for i, found in words for w in found if w not in known]
                 for i, left, sign, right, j in breaks:
                     out.append((id_, i + 1, j + 1, "hyphen", left + right, 0, len(left), left, sign, right))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in _MARKS.split(", ")]).astype({c: "Int32" for c in ("line_no", "next_no", "lo", "hi")})
