@@ -157,6 +157,15 @@ def _parsed(wanted: str) -> str:
     """
 
 
+#: The plain and the page backend over all full texts; a text above 200 characters has words.
+_COMPARED = rf"""
+    WITH t AS (SELECT record_id, 'plain' AS backend, full_text AS t FROM papers WHERE full_text IS NOT NULL
+               UNION ALL SELECT record_id, 'html', {_page('full_text')} FROM papers WHERE full_text IS NOT NULL),
+         u AS (SELECT record_id, backend, CASE WHEN length(t) > 200 THEN t END AS t FROM t)
+    SELECT record_id, backend, {_words('t')} AS tokens, coalesce(len(regexp_extract_all(t, '\\[a-zA-Z]+')), 0) AS latex_residue FROM u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     eval_rows = "CASE WHEN count(*) OVER () > 100 THEN ceil(0.005::DOUBLE * count(*) OVER ()) ELSE 0 END"
     return {
@@ -284,11 +293,10 @@ def oracle_sql() -> dict[str, str]:
             WITH t AS (SELECT record_id, {_page('full_text')} AS p FROM papers WHERE full_text IS NOT NULL)
             SELECT record_id, CASE WHEN length(p) > 50 THEN p END AS text, CASE WHEN length(p) > 50 THEN NULL ELSE 'no text' END AS error FROM t
         """,
-        "compare_backends": rf"""
-            WITH t AS (SELECT record_id, 'plain' AS backend, full_text AS t FROM papers WHERE full_text IS NOT NULL
-                       UNION ALL SELECT record_id, 'html', {_page('full_text')} FROM papers WHERE full_text IS NOT NULL),
-                 u AS (SELECT record_id, backend, CASE WHEN length(t) > 200 THEN t END AS t FROM t)
-            SELECT record_id, backend, {_words('t')} AS tokens, coalesce(len(regexp_extract_all(t, '\\[a-zA-Z]+')), 0) AS latex_residue FROM u
+        "compare_backends": _COMPARED,
+        "comparison_totals": f"""
+            SELECT backend, count(*) AS n, count(*) FILTER (failed) AS n_failed, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(latex_residue) AS BIGINT) AS latex_residue
+            FROM (SELECT c.*, c.tokens = 0 AS failed FROM ({_COMPARED}) c) GROUP BY backend
         """,
         "load_corpus": f"""
             WITH m AS ({_mix(True, True, with_text=True)}), {_geometry("m", "shuffle_key")},

@@ -362,6 +362,13 @@ def comparison_summary(spark: SparkSession, d: str) -> DataFrame:
     return parsing.summarize_comparison(read(spark, d, "backend_compare"))
 
 
+@query
+def comparison_totals(spark: SparkSession, d: str) -> DataFrame:
+    """What the comparison of backends comes to, but for its times."""
+    compared = parsing.compare_backends(_contents(spark, d), ["plain", "html"], "record_id")
+    return parsing.summarize_comparison(compared).drop("median_seconds")
+
+
 @query
 def parse_stats(spark: SparkSession, d: str) -> DataFrame:
     return parsing.parse_stats(read(spark, d, "parse_results"))
