@@ -30,26 +30,31 @@ def count_tokens(df: DataFrame, id_cols: Sequence[str], text: str = "clean_text"
     """(id columns, _doc, n_tokens, n_words) of every row whose text isn't null.
 
     Whole texts are hashed and deduplicated, each distinct text is tokenized
-    once, and the exact counts are joined back by the digest.  The text travels
-    through one shuffle, where partial aggregation has already merged the copies
-    of each task; after that only digests and numbers move.  A text that a third
-    of the rows share makes a skewed key of the last join, which adaptive
-    execution splits.
+    once, and the exact counts are joined back by the digest.  A text that a
+    third of the rows share makes a skewed key of that last join, of digests and
+    numbers alone, which adaptive execution splits.
 
     An empty text has 0 tokens; all rows are kept, repeated ones too; null ids
     are kept.
     """
     rows = df.where(F.col(text).isNotNull()).select(*id_cols, digest(F.col(text)).alias("_doc"))
-    counted = distinct_counts(df, text, tokenizers, vocabulary)
+    counted = distinct_counts(df, id_cols[0], text, tokenizers, vocabulary)
     return rows.join(counted, "_doc").select(*id_cols, "_doc", "n_tokens", "n_words")
 
 
-def distinct_counts(df: DataFrame, text: str, tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
-    """(_doc, n_tokens, n_words): one row per distinct text."""
-    texts = df.where(F.col(text).isNotNull()).select(digest(F.col(text)).alias("_doc"), F.col(text).alias("_text"))
-    once = texts.groupBy("_doc").agg(F.first("_text").alias("_text"))
+def distinct_counts(df: DataFrame, id_col: str, text: str, tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    """(_doc, n_tokens, n_words): one row per distinct text.
+
+    Digests alone are grouped, each with the least hash of an id; the texts of
+    these rows are then picked out by a hash join whose built side is digests, so
+    that no text is sorted or held.  Rows that repeat an id with its
+    text are tokenized again and counted once.
+    """
+    texts = df.where(F.col(text).isNotNull()).select(digest(F.col(text)).alias("_doc"), F.xxhash64(id_col).alias("_row"), F.col(text).alias("_text"))
+    firsts = texts.groupBy("_doc").agg(F.min("_row").alias("_row"))
     n = token_counts(f"{tokenizers}/{vocabulary}")(F.col("_text"))
-    return once.select("_doc", n.alias("_n")).select("_doc", F.col("_n.n_tokens").alias("n_tokens"), F.col("_n.n_words").alias("n_words"))
+    counted = texts.join(firsts.hint("shuffle_hash"), ["_doc", "_row"], "left_semi").select("_doc", n.alias("_n"))
+    return counted.groupBy("_doc").agg(F.max("_n.n_tokens").alias("n_tokens"), F.max("_n.n_words").alias("n_words"))
 
 
 def stale_counts(papers: DataFrame, tolerance: float = 0.1, tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
@@ -79,7 +84,7 @@ def token_budget(papers: DataFrame, lang_labels: DataFrame, category_domain: Dat
     times = rows.groupBy("_doc", "source", "_label", "_category").agg(F.count(F.lit(1)).alias("_n"))
     named = times.join(labels, "_label", "left").join(domains, "_category", "left")
     times = named.groupBy("_doc", "source", "lang", "domain").agg(F.sum("_n").alias("_n"))
-    counted = times.join(distinct_counts(papers, text, tokenizers, vocabulary), "_doc")
+    counted = times.join(distinct_counts(papers, "record_id", text, tokenizers, vocabulary), "_doc")
     return counted.groupBy("source", "lang", "domain").agg(
         F.sum("_n").alias("n_docs"), F.count(F.lit(1)).alias("n_distinct"), F.sum(F.col("_n") * F.col("n_tokens")).alias("n_tokens"),
         F.sum("n_tokens").alias("n_distinct_tokens"), F.sum(F.col("_n") * F.col("n_words")).alias("n_words"),
