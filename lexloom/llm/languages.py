@@ -380,7 +380,8 @@ def identifier(model: Model):
             done = [([], None, None) if t is None or not t.strip() else segments_of(t, model) for t in texts]
             yield pd.DataFrame({"segments": [[s._asdict() for s in d[0]] for d in done], "lang": [d[1] for d in done], "confidence": [d[2] for d in done]})
 
-    return of
+    # Else a filter on what it finds is put before it, with a second evaluation of its own.
+    return of.asNondeterministic()
 
 
 def held_out(samples: dict[str, list[str]], every: int = HELD_OUT) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
