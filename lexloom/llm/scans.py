@@ -347,28 +347,45 @@ def anagram_hash(word: str) -> int:
     return sum(pow(ord(c), 5, MODULUS) for c in word) % MODULUS
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words of the running text of each batch with their counts: the map side of the vocabulary."""
+#: A letter per class of line.
+CODES = {"blank": "b", "furniture": "f", "table": "t", "number": "n", "heading": "h", "equation": "e", "code": "c", "text": "x"}
+_CLASSES = {code: name for name, code in CODES.items()}
+_BREAK = "struct<line_no int, left string, sign string, right string, next_no int>"
+_READ = f"_id string, classes string, lines array<int>, words array<string>, breaks array<{_BREAK}>, word string, n long, hash long"
+
+
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per text its lines' classes, words by line and breaks; and the words of each batch with their counts, the map side of the vocabulary."""
+    names = [x.split()[0] for x in ("_id", "classes", "lines", "words", "breaks", "word", "n", "hash")]
     for batch in batches:
         total: Counter[str] = Counter()
-        for title, abstract, text in zip(batch["_title"], batch["_abstract"], batch["_text"]):
+        out: list[tuple] = []
+        for id_, title, abstract, text in zip(batch["_id"], batch["_title"], batch["_abstract"], batch["_text"]):
             if abstract:
                 total.update(words_of(abstract))
-            if text:
-                total.update([w for _, words in running_words(text, title, abstract)[1] for w in words])
-        if total:
-            yield pd.DataFrame({"word": list(total), "n": list(total.values()), "hash": [anagram_hash(w) for w in total]})
+            if text is not None:
+                classes, words, breaks = running_words(text, title, abstract)
+                total.update([w for _, found in words for w in found])
+                torn = [{"line_no": i + 1, "left": left, "sign": sign, "right": right, "next_no": j + 1} for i, left, sign, right, j in breaks]
+                out.append((id_, "".join([CODES[c] for c in classes]), [i + 1 for i, _ in words], [" ".join(found) for _, found in words], torn, None, None, None))
+        out += [(None, None, None, None, None, w, n, anagram_hash(w)) for w, n in total.items()]
+        yield pd.DataFrame(out, columns=names).astype({"n": "Int64", "hash": "Int64"})
 
 
 def _columns(df: DataFrame, title: str, abstract: str) -> list[Column]:
     return [(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(a) for c, a in ((title, "_title"), (abstract, "_abstract"))]
 
 
-def vocabulary(df: DataFrame, text: str = "full_text", title: str = "title", abstract: str = "abstract") -> DataFrame:
+def read_texts(df: DataFrame, id_col: str = "record_id", text: str = "full_text", title: str = "title", abstract: str = "abstract") -> DataFrame:
+    """What is read of each text, in one pass, written once: rows of texts (_id, classes, lines, words, breaks) and rows of counted words (word, n, hash)."""
+    rows = df.select(F.col(id_col).cast("string").alias("_id"), *_columns(df, title, abstract), F.col(text).alias("_text"))
+    return cut(rows.mapInPandas(_read, _READ))
+
+
+def vocabulary(read: DataFrame) -> DataFrame:
     """(word, n, hash) over the running text and the abstracts of all rows."""
-    rows = df.select(*_columns(df, title, abstract), F.col(text).alias("_text"))
-    counts = rows.mapInPandas(_counted, "word string, n long, hash long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n"), F.first("hash").alias("hash"))
+    counts = read.where(F.col("word").isNotNull())
+    return counts.groupBy("word").agg(F.sum("n").alias("n"), F.max("hash").alias("hash"))
 
 
 def _confusions() -> Column:
@@ -446,54 +463,36 @@ def corrections(vocab: DataFrame, frequent: int = FREQUENT, times: int = TIMES,
     return found.join(F.broadcast(rates), "rank").where(F.col("_n") <= most).select("word", "correction", "place", "width")  # a rate per confusion
 
 
-#: A letter per class of line.
-CODES = {"blank": "b", "furniture": "f", "table": "t", "number": "n", "heading": "h", "equation": "e", "code": "c", "text": "x"}
-_CLASSES = {code: name for name, code in CODES.items()}
-_MARKS = "_id string, line_no int, next_no int, noise string, word string, lo int, hi int, left string, sign string, right string"
-
-
-def _marked(known: frozenset[str]):
-    """Per row: its furniture lines, the words that aren't known, and the breaks.
-
-    A misread character at lo <= place < hi of a word lies in its line.
-    """
-
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for id_, title, abstract, text in zip(batch["_id"], batch["_title"], batch["_abstract"], batch["_text"]):
-                classes, words, breaks = running_words(text, title, abstract)
-                out.append((id_, 0, None, "classes", "".join(CODES[c] for c in classes), None, None, None, None, None))
-                out += [(id_, i + 1, None, "furniture", None, None, None, None, None, None) for i, c in enumerate(classes) if c == "furniture"]
-                out += [(id_, i + 1, None, "misread", w, 0, len(w), None, None, None) for i, found in words for w in found if w not in known]
-                for i, left, sign, right, j in breaks:
-                    out.append((id_, i + 1, j + 1, "hyphen", left + right, 0, len(left), left, sign, right))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in _MARKS.split(", ")]).astype({c: "Int32" for c in ("line_no", "next_no", "lo", "hi")})
-
-    return of
-
-
 def noise_marks(df: DataFrame, id_col: str = "record_id", text: str = "full_text", title: str = "title", abstract: str = "abstract", tokenizers: str = TOKENIZERS, files: Sequence[str] = LEXICON) -> DataFrame:
     """(_id, line_no, next_no, noise, word, left, right, correction): every mark of noise, with what repairs it.
 
     noise is furniture, hyphen or misread, or classes: the classes of all lines
-    of a document, a letter each.  The most frequent words, a number
-    bounded by KNOWN and never one with a correction, are known to the tasks, so
-    that only what is left of the text reaches the join with the corrections.
+    of a document, a letter each.  Texts are read once.  The most frequent words,
+    a number bounded by KNOWN and never one with a correction, are taken out of
+    their words first, so that only what is left reaches the join with the
+    corrections.
     """
-    vocab = cut(vocabulary(df, text, title, abstract))
+    read = read_texts(df, id_col, text, title, abstract)
+    vocab = cut(vocabulary(read))
     fixes = cut(corrections(vocab, words=lexicon(tuple(f"{tokenizers}/{f}" for f in files))))
-    top = vocab.join(fixes, "word", "left_anti").orderBy(F.desc("n"), "word").limit(KNOWN).where(F.col("n") > 1)
-    known = frozenset(r[0] for r in top.select("word").toLocalIterator())
-    rows = df.where(F.col(text).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), *_columns(df, title, abstract), F.col(text).alias("_text"))
-    marks = cut(rows.mapInPandas(_marked(known), _MARKS))
-    furniture = marks.where(F.col("noise").isin("furniture", "classes")).select("_id", "line_no", "next_no", "noise", "word", "left", "right", F.lit(None).cast("string").alias("correction"))
-    at = (F.col("place") < F.col("hi")) & (F.col("place") + F.col("width") > F.col("lo"))
-    misread = marks.where(F.col("noise") == "misread").join(fixes, "word").where(at).select("_id", "line_no", "next_no", "noise", "word", "left", "right", "correction")
-    breaks = marks.where(F.col("noise") == "hyphen")
-    torn = breaks.join(fixes, "word").select(
-        "_id", F.when(F.col("place") < F.col("hi"), F.col("line_no")).otherwise(F.col("next_no")).alias("line_no"), "next_no", F.lit("misread").alias("noise"), "word", "left", "right", "correction"
-    )
+    known = vocab.join(fixes, "word", "left_anti").orderBy(F.desc("n"), "word").limit(KNOWN).where(F.col("n") > 1).select("word")
+    texts = read.where(F.col("classes").isNotNull())
+    none, nothing = F.lit(None).cast("string"), F.lit(None).cast("int")
+
+    def mark(rows: DataFrame, noise: str, line: Column, after: Column = nothing, word: Column = none, left: Column = none, right: Column = none, correction: Column = none) -> DataFrame:
+        return rows.select("_id", line.cast("int").alias("line_no"), after.alias("next_no"), F.lit(noise).alias("noise"), word.alias("word"), left.alias("left"), right.alias("right"), correction.alias("correction"))
+
+    classes = mark(texts, "classes", F.lit(0), word=F.col("classes"))
+    at = F.filter(F.sequence(F.lit(1), F.length("classes")), lambda i: F.substring("classes", i, 1) == CODES["furniture"])
+    furniture = mark(texts.select("_id", F.explode(at).alias("_i")), "furniture", F.col("_i"))
+    lines = texts.select("_id", F.explode(F.arrays_zip("lines", "words")).alias("_l"))
+    words = lines.select("_id", F.col("_l.lines").alias("_i"), F.explode(F.split("_l.words", " ")).alias("word"))
+    rare = words.join(F.broadcast(known), "word", "left_anti")  # KNOWN words at most
+    misread = mark(rare.join(fixes, "word"), "misread", F.col("_i"), word=F.col("word"), correction=F.col("correction"))
+    breaks = cut(texts.select("_id", F.explode("breaks").alias("_b")).select("_id", "_b.*").withColumn("word", F.concat("left", "right")))
+    # A misread character before the cut lies in the first line.
+    where = F.when(F.col("place") < F.length("left"), F.col("line_no")).otherwise(F.col("next_no"))
+    torn = mark(breaks.join(fixes, "word"), "misread", where, F.col("next_no"), F.col("word"), F.col("left"), F.col("right"), F.col("correction"))
     forms = breaks.select("left", "right").distinct()
     judged = forms
     for name, form in (("_joined", F.concat("left", "right")), ("_hyphened", F.concat("left", F.lit("-"), "right")), ("_l", F.col("left")), ("_r", F.col("right"))):
@@ -503,8 +502,8 @@ def noise_marks(df: DataFrame, id_col: str = "record_id", text: str = "full_text
     joined = F.col("_joined") + F.when(F.col("_fixed").isNotNull(), F.lit(FREQUENT)).otherwise(F.lit(0))
     whole = F.col("right").rlike(r"^[\p{Lu}\p{N}]") | (F.col("_l") >= FREQUENT) & (F.col("_r") >= FREQUENT)
     broken = F.when((joined == 0) & (F.col("_hyphened") == 0), ~whole).otherwise(joined > F.col("_hyphened"))
-    hyphen = breaks.join(judged.where(broken).select("left", "right"), ["left", "right"]).select("_id", "line_no", "next_no", "noise", "word", "left", "right", F.lit(None).cast("string").alias("correction"))
-    return furniture.unionByName(misread).unionByName(torn).unionByName(hyphen)
+    hyphen = mark(breaks.join(judged.where(broken).select("left", "right"), ["left", "right"]), "hyphen", F.col("line_no"), F.col("next_no"), F.col("word"), F.col("left"), F.col("right"))
+    return classes.unionByName(furniture).unionByName(misread).unionByName(torn).unionByName(hyphen)
 
 
 def noisy_lines(df: DataFrame, id_col: str = "record_id", text: str = "full_text", title: str = "title", abstract: str = "abstract") -> DataFrame:
