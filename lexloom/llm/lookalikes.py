@@ -99,7 +99,8 @@ def _mapped(text: str, visible: bool) -> str:
 
 @functools.lru_cache(maxsize=1 << 16)
 def _word(word: str) -> str:
-    """A word in one script: the script of its letters that have no Latin twin, else Latin."""
+    """A word in one script: the script of its letters that have no Latin twin, else Latin; accents are taken apart, as twins share them."""
+    word = unicodedata.normalize("NFD", word)
     for k, (table, low, high) in enumerate(SCRIPTS):
         if any(low <= c <= high and c not in table and c.isalpha() for c in word):
             back = _inverse(k)
@@ -107,6 +108,10 @@ def _word(word: str) -> str:
     return "".join(next((table[c] for table, _, _ in SCRIPTS if c in table), c) for c in word)
 
 
+def _in_word(ch: str) -> bool:
+    return ch.isalpha() or unicodedata.combining(ch) > 0
+
+
 def _one_script(text: str) -> str:
     """Every word that holds a letter of another script than Latin which may have a twin there, written in one script."""
     out, done = [], 0
@@ -114,9 +119,9 @@ def _one_script(text: str) -> str:
         start, end = match.span()
         if start < done:
             continue
-        while start > done and text[start - 1].isalpha():
+        while start > done and _in_word(text[start - 1]):
             start -= 1
-        while end < len(text) and text[end].isalpha():
+        while end < len(text) and _in_word(text[end]):
             end += 1
         out += [text[done:start], _word(text[start:end])]
         done = end
@@ -142,7 +147,9 @@ def look_of(text: str) -> str:
     """The text with every character replaced by the one that stands for all of its look."""
     if text.isascii() and not _SPECIAL.search(text):
         return _tidy(text)
-    return _tidy(_one_script(unicodedata.normalize("NFC", _mapped(text.replace("\r\n", "\n"), True))))
+    text = _one_script(unicodedata.normalize("NFC", _mapped(text.replace("\r\n", "\n"), True)))
+    # A letter that took its twin's place may now compose with the accent behind it.
+    return _tidy(unicodedata.normalize("NFC", text))
 
 
 def form_of(text: str) -> str:

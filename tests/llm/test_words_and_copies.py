@@ -93,6 +93,7 @@ LOOKS = {
     "full width": ("ABC 12", "ＡＢＣ　１２"), "accents": ("café Å", "cafe\u0301 A\u030a"), "ignorable": ("water", "wa\u200bt\u00ader\ufeff"), "spaces": ("a b", "a\u00a0b"), "width of a space": ("a b", "a\u3000b"),
     "latin": ("peace", "реасе"), "mixed word": ("сплав", "сплaв"), "greek": ("NaCl OH", "ΝaCl ΟΗ"), "ligature": ("find", "ﬁnd"), "kelvin": ("5 K Ω", "5 \u212a \u2126"), "half width": ("カタ", "ｶﾀ"), "jamo": ("한", "\u1112\u1161\u11ab"),
     "armenian": ("honour Lot", "հօոօսr Լօt"), "cherokee": ("DRAW WELL", "\u13a0\u13a1\u13aa\u13b3 \u13b3\u13ac\u13de\u13de"),
+    "accent behind a twin": ("café 5 Å", "caf\u0435\u0301 5 \u0410\u030a"), "accent within a word": ("кафе\u0301с", "кафe\u0301c"),
     "hyphen": ("a-b", "a‑b"), "jo": ("плёнка", "плe\u0308нка"),
 }
 UNLIKE = {"case": ("Abc", "abc"), "accent": ("cafe", "café"), "raised": ("cm2", "cm²"), "dash": ("a-b", "a–b"), "word": ("a b", "a b c"), "alpha": ("α form", "a form")}
