@@ -12,15 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions import text
+from lexloom.functions.tokenizers import EOS
 from lexloom.operators import mixing, order, packing, parsing, records
 from lexloom.sources.readers import folders_of, read_corpus, read_folders, read_papers, read_results
 from lexloom.sources.storage import Files, cut
 from lexloom.sources.writers import replace_papers
 from lexloom.streaming.ingest import merge_into_store
 
-#: Ids that separate documents, for tokenizers that name none themselves.
-SEPARATOR = {"utf8": 256, "ws": 0}
-
 
 def read_config(path: str) -> dict[str, Any]:
     """A configuration in JSON or YAML, by the file's suffix."""
@@ -67,7 +65,7 @@ def load_corpus(
     placed = order.with_position(mixed.select("shuffle_key", "text"), seed, ["shuffle_key"], n=n)
     tokens = packing.tokenize(placed, tokenizer, max_length=None if packed else length)
     if packed:
-        end = eos if eos is not None else SEPARATOR.get(tokenizer)
+        end = eos if eos is not None else EOS.get(tokenizer)
         done = packing.pack(tokens, length, end, batch_size=batch_size, shards=shards or training.get("preprocess_num_proc", 4), n=n)
         keys = ["shard", "batch", "k"]
     else:

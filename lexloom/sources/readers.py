@@ -153,13 +153,11 @@ def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def list_pdfs(spark: SparkSession, folder: str, content: bool = False) -> DataFrame:
-    """(path, length[, content]) of the PDFs in a folder, not below it; the content is read only when asked for.
-
-    Rows have no order; `path` is what a listing is sorted by.
-    """
+def list_pdfs(spark: SparkSession, folder: str, content: bool = False, ordered: bool = False) -> DataFrame:
+    """(path, length[, content]) of the PDFs in a folder, not below it; the content is read only when asked for, and the rows sorted by path."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
-    return rows.select("path", "length", *(["content"] if content else []))
+    out = rows.select("path", "length", *(["content"] if content else []))
+    return out.orderBy("path") if ordered else out
 
 
 def read_union(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -57,9 +57,12 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not context.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+        import atexit
+        import shutil
         import tempfile
 
         named = tempfile.mkdtemp(prefix="lexloom-")
+        atexit.register(shutil.rmtree, named, True)
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(named)
     return named.rstrip("/")

@@ -126,7 +126,9 @@ def test_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one\n\ntwo", "utf-8")
     assert readers.read_whole_texts(spark, str(tmp_path / "a.txt")).first()["text"] == "one\n\ntwo"
     (tmp_path / "a.pdf").write_bytes(b"%PDF")
-    assert readers.list_pdfs(spark, str(tmp_path)).first()["length"] == 4
+    (tmp_path / "b.pdf").write_bytes(b"%PDF-2")
+    assert [(r["path"][-5:], r["length"]) for r in readers.list_pdfs(spark, str(tmp_path), ordered=True).collect()] == [("a.pdf", 4), ("b.pdf", 6)]
+    assert bytes(readers.list_pdfs(spark, str(tmp_path), content=True).where("length = 4").first()["content"]) == b"%PDF"
     spark.createDataFrame([("1",)], "record_id string").write.parquet(str(tmp_path / "p1"))
     spark.createDataFrame([("2", "mit")], "record_id string, license string").write.parquet(str(tmp_path / "p2"))
     assert {(r["record_id"], r["license"]) for r in readers.read_union(spark, [str(tmp_path / "p1"), str(tmp_path / "p2")]).collect()} == {("1", None), ("2", "mit")}
